@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, quality
+from . import bpe, chat, htmltext, mixing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with the public byte-level vocabulary and decoded again."""
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -7, formatted, and read back from the formatted text."""
     own = spark.range(2).select(
@@ -33,9 +40,15 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op2_chat_format": op2_chat_format,
     "op4_quality_rules": op4_quality_rules,
     "op7_mix_sources": op7_mix_sources,
+    "op8_html_text": op8_html_text,
 }
 ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op7_mix_sources": mixing.ORACLE}
