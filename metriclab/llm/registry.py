@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, htmltext, mixing, quality
+from . import bpe, chat, chunks, htmltext, mixing, quality, spans, units
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op6_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.cut_digests(docs, units.repeated_units(docs)).drop("spans")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.with_copies(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return found.select("doc_id", "size", "source_size", "target", "copies", "taken")
@@ -44,11 +49,18 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.cut_digests(docs, chunks.repeated_chunks(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_chat_format": op2_chat_format,
     "op4_quality_rules": op4_quality_rules,
+    "op6_unit_dedup": op6_unit_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_html_text": op8_html_text,
+    "op10_line_chunks": op10_line_chunks,
 }
-ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op7_mix_sources": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op6_unit_dedup": units.ORACLE, "op7_mix_sources": mixing.ORACLE}
