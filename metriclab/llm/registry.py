@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, chunks, htmltext, mixing, quality, spans, units
+from . import bpe, chat, chunks, htmltext, jaccard, mixing, quality, spans, units
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.with_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spans.cut_digests(docs, chunks.repeated_chunks(docs))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_unit_dedup": op6_unit_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_html_text": op8_html_text,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_line_chunks": op10_line_chunks,
 }
 ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op6_unit_dedup": units.ORACLE, "op7_mix_sources": mixing.ORACLE}
