@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, chunks, htmltext, jaccard, mixing, quality, spans, units
+from . import bpe, chat, chunks, htmltext, jaccard, mixing, quality, spans, units, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.with_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op6_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spans.cut_digests(docs, units.repeated_units(docs)).drop("spans")
@@ -62,10 +66,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_chat_format": op2_chat_format,
     "op4_quality_rules": op4_quality_rules,
+    "op5_vector_dedup": op5_vector_dedup,
     "op6_unit_dedup": op6_unit_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_line_chunks": op10_line_chunks,
 }
-ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op6_unit_dedup": units.ORACLE, "op7_mix_sources": mixing.ORACLE}
+#: All pairs, for tables of test size; a recursive walk gives the components.
+_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+u AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM v),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) >= 0.9 * a.size * b.size),
+r AS (SELECT vec_id AS a, vec_id AS b FROM u UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c
+"""
+ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "op7_mix_sources": mixing.ORACLE}
