@@ -28,7 +28,7 @@ from .bytesets import blocks, utf8
 #: Fixed value: the published pattern that cuts a text into words for byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words kept from batch to batch in a worker, and words held at once of a long text.
-CACHE_WORDS, HELD_WORDS = 400_000, 500_000
+CACHE_WORDS, HELD_WORDS = 1_000_000, 500_000
 _SHIFT = np.int64(20)
 
 
@@ -56,19 +56,23 @@ class ByteBPE:
         for text, i in self.special.items():
             self.bytes_of[i] = text.encode()
         self.rank, self.left, self.right = (np.full(n, -1, dtype=np.int64) for _ in range(3))
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.pair_rank: dict[tuple[int, int], int] = {}
+        self.whole_of: list[int] = []
         for r, (a, b) in enumerate(m.split(" ") if isinstance(m, str) else m for m in model["merges"]):
             a, b, whole = vocab[a], vocab[b], vocab[a + b]
             if self.rank[whole] >= 0:
                 raise ValueError(f"token {whole} is made by two merges")
-            self.pairs[a, b] = r, whole
+            self.pair_rank[a, b] = r
+            self.whole_of.append(whole)
             self.rank[whole], self.left[whole], self.right[whole] = r, a, b
-        keys = np.array([(a << int(_SHIFT)) | b for a, b in self.pairs], dtype=np.int64)
+        keys = np.array([(a << int(_SHIFT)) | b for a, b in self.pair_rank], dtype=np.int64)
         order = np.argsort(keys)
         self._keys, self._ranks = keys[order], order.astype(np.int64)
         self.id_of = {self.bytes_of[i]: i for i in vocab.values()}
         self.byte_ids = [self.id_of[bytes([b])] for b in range(256)]
-        self.longest = max(map(len, self.id_of))
+        self.longest: dict[bytes, int] = {}
+        for token in self.id_of:
+            self.longest[token[:3]] = max(len(token), self.longest.get(token[:3], 0))
         self.words = regex.compile(PATTERN)
         self._stop = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self._cache: dict[str, bytes] = {}
@@ -78,9 +82,10 @@ class ByteBPE:
         """Greedy longest match from the left."""
         if (whole := self.id_of.get(word)) is not None:
             return [whole]
-        out, at, get = [], 0, self.id_of.get
+        out, at, get, longest = [], 0, self.id_of.get, self.longest.get
         while at < len(word):
-            for size in range(min(self.longest, len(word) - at), 0, -1):
+            # no token is longer than the longest that begins with the same three bytes
+            for size in range(min(longest(word[at : at + 3], 2), len(word) - at), 0, -1):
                 if (found := get(word[at : at + size])) is not None:
                     out.append(found)
                     at += size
@@ -114,24 +119,41 @@ class ByteBPE:
 
     def merged(self, word: bytes) -> list[int]:
         """The encoding by its definition: the lowest pair merges first, the leftmost among equals."""
-        ids: list[int] = [self.byte_ids[b] for b in word]
-        n = len(ids)
+        ids = [self.byte_ids[b] for b in word]
+        return self._merged_long(ids) if len(ids) > 32 else self._merged_short(ids)
+
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        get, none = self.pair_rank.get, len(self.whole_of)
+        ranks = [get(p, none) for p in zip(ids, ids[1:])]
+        while ranks and (low := min(ranks)) < none:
+            i = ranks.index(low)
+            ids[i : i + 2] = [self.whole_of[low]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], ids[i]), none)
+            if i < len(ranks):
+                ranks[i] = get((ids[i], ids[i + 1]), none)
+        return ids
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap and linked neighbours, for words of any length."""
+        n, get = len(ids), self.pair_rank.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(p[0], i, ids[i], ids[i + 1]) for i in range(n - 1) if (p := self.pairs.get((ids[i], ids[i + 1])))]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := get((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue
-            ids[i], ids[j] = self.pairs[a, b][1], -1
+            ids[i], ids[j] = self.whole_of[rank], -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if p := self.pairs.get((ids[i], ids[k])):
-                    heapq.heappush(heap, (p[0], i, ids[i], ids[k]))
-            if (h := before[i]) >= 0 and (p := self.pairs.get((ids[h], ids[i]))):
-                heapq.heappush(heap, (p[0], h, ids[h], ids[i]))
+                if (r := get((ids[i], ids[k]))) is not None:
+                    heapq.heappush(heap, (r, i, ids[i], ids[k]))
+            if (h := before[i]) >= 0 and (r := get((ids[h], ids[i]))) is not None:
+                heapq.heappush(heap, (r, h, ids[h], ids[i]))
         return [i for i in ids if i >= 0]
 
     def _learn(self, new: list[str]) -> None:
