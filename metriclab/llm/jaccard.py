@@ -154,40 +154,39 @@ def sets_table(docs: DataFrame, key: str, text: str, rules: JaccardJoin) -> Data
                         out.append((0, None, None, None, None))
                         continue
                     prefix = np.sort(_ordered(tokens, known, place))[: rules.prefix(n)].tobytes()
-                    gid = hashlib.blake2b(prefix + n.to_bytes(8, "little"), digest_size=16).digest()
+                    gid = int.from_bytes(hashlib.blake2b(prefix + n.to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True)
                     out.append((n, hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), gid, prefix, bitmap(tokens)))
                 n, *rest = zip(*out)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in rest)], names=["_key", "n", "set", "gid", "prefix", "bits"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), *(pa.array(c, t) for c, t in zip(rest, (pa.binary(), pa.int64(), pa.binary(), pa.binary())))], names=["_key", "n", "set", "gid", "prefix", "bits"])
 
-    return rows.mapInArrow(run, f"_key {kind}, n long, set binary, gid binary, prefix binary, bits binary")
+    return rows.mapInArrow(run, f"_key {kind}, n long, set binary, gid long, prefix binary, bits binary")
 
 
-def _cells(nodes: DataFrame, rules: JaccardJoin) -> DataFrame:
+def _cells(sets: DataFrame, nodes: DataFrame, rules: JaccardJoin) -> DataFrame:
     """(list, cell, cells, set, n, bits): prefix lists with two sets or more, long ones in several cells.
 
     Lists that hold the same two groups come once.
     """
-    groups = nodes.groupBy("gid").agg(F.count("*").alias("members"), F.first("prefix").alias("prefix"))
+    members = nodes.groupBy("gid", "n").agg(F.count("*").alias("members"))
+    groups = sets.filter("n > 0").groupBy("gid", "n").agg(F.first("prefix").alias("prefix")).join(members, ["gid", "n"])
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 some = batch.slice(lo, 1000)
-                raw = some.column(2)
-                sizes = np.array([len(p) // 8 for p in raw.to_pylist()], dtype=np.int64)
-                tokens = np.frombuffer(b"".join(raw.to_pylist()), dtype=np.int64)
-                at = pa.array(np.repeat(np.arange(some.num_rows), sizes))
-                yield pa.RecordBatch.from_arrays([pa.array(tokens), some.column(0).take(at), some.column(1).take(at)], names=["list", "gid", "members"])
-
-    postings = groups.mapInArrow(listed, "list long, gid binary, members long")
-    lists = postings.groupBy("list").agg(F.sum("members").alias("sets"), F.count("*").alias("n_groups"), F.min("gid").alias("a"), F.max("gid").alias("b")).filter("sets >= 2")
-    lists = written(lists, "lists")
-    couples = lists.filter("n_groups <= 2").select("a", "b").distinct().withColumn("list", F.xxhash64("a", "b"))
-    couples = couples.select("list", F.lit(1).alias("cells"), F.explode(F.array_distinct(F.array("a", "b"))).alias("gid"))
-    longer = lists.filter("n_groups > 2").select("list", F.ceil(F.col("sets") / rules.cell).cast("int").alias("cells"))
-    longer = postings.join(longer, "list").select("list", "cells", "gid")
-    members = nodes.select("gid", "set", "n", "bits")
-    cells = longer.unionByName(couples).join(members, "gid")
+                raw = some.column(3).to_pylist()
+                at = pa.array(np.repeat(np.arange(some.num_rows), [len(p) // 8 for p in raw]))
+                tokens = pa.array(np.frombuffer(b"".join(raw), dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([tokens, *(some.column(c).take(at) for c in range(3))], names=["list", "gid", "n", "members"])
+
+    postings = groups.select("gid", "n", "members", "prefix").mapInArrow(listed, "list long, gid long, n long, members long")
+    counts = postings.groupBy("list").agg(F.sum("members").alias("sets"), F.count("*").alias("n_groups")).filter("sets >= 2")
+    shared = written(postings.select("list", "gid", "n").join(counts, "list"), "lists")
+    group = F.struct("gid", "n")
+    couples = shared.filter("n_groups <= 2").groupBy("list").agg(F.min(group).alias("a"), F.max(group).alias("b")).select("a", "b").distinct()
+    couples = couples.select(F.xxhash64("a", "b").alias("list"), F.lit(1).alias("cells"), F.explode(F.array_distinct(F.array("a", "b"))).alias("g"))
+    longer = shared.filter("n_groups > 2").select("list", F.ceil(F.col("sets") / rules.cell).cast("int").alias("cells"), group.alias("g"))
+    cells = longer.unionByName(couples).select("list", "cells", "g.gid", "g.n").join(nodes.select("gid", "n", "set", "bits"), ["gid", "n"])
     return cells.select("list", F.pmod(F.xxhash64("set"), F.col("cells")).cast("int").alias("cell"), "cells", "set", "n", "bits")
 
 
@@ -307,10 +306,10 @@ def with_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     only where a component has no other.
     """
     found = written(_tagged(docs, key, text, rules), "sets")
-    nodes = found.filter("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("gid").alias("gid"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.min(F.struct("_key", "_hash")).alias("first"))
+    nodes = found.filter("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("gid").alias("gid"), F.first("bits").alias("bits"), F.min(F.struct("_key", "_hash")).alias("first"))
     nodes = written(nodes, "nodes")
     first = nodes.select("set", "first._key", "first._hash")
-    cells = written(_cells(nodes, rules), "cells")
+    cells = written(_cells(found, nodes, rules), "cells")
     links = _verified(written(_best_partners(cells, rules), "pairs"), docs, first, text, key, rules)
     labels = components(links)
     across = written(_across(cells, labels, rules), "pairs")
