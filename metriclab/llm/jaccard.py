@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 from .bytesets import blocks, gram_hashes, mix, utf8, word_hashes, words
 from .components import components
 from .groups import by_key
-from .scratch import written
+from .scratch import dropped, written
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_TOP = np.uint64(1 << 63)
+#: Bytes of a place in the global order as it is stored, and the bit that sets frequent shingles behind all rare ones.
+_PLACE_BYTES = 5
+_TOP = np.uint64(1 << (8 * _PLACE_BYTES - 1))
 
 
 @dataclass(frozen=True)
@@ -116,8 +118,11 @@ def frequent_shingles(docs: DataFrame, text: str, rules: JaccardJoin) -> np.ndar
 
 
 def _ordered(tokens: np.ndarray, known: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Shingles as numbers in the global order: rare ones in the lower half, frequent ones in the upper."""
-    out = tokens >> np.uint64(1)
+    """Places of shingles in the global order, rare ones by the first bits of their hash.
+
+    Shingles that agree in those bits share a place and so a list, which only adds candidates.
+    """
+    out = tokens >> np.uint64(65 - 8 * _PLACE_BYTES)
     if len(known):
         at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
         hit = known[at] == tokens
@@ -125,10 +130,20 @@ def _ordered(tokens: np.ndarray, known: np.ndarray, place: np.ndarray) -> np.nda
     return out
 
 
+def _packed(places: np.ndarray) -> bytes:
+    return places.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_PLACE_BYTES].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // _PLACE_BYTES, 8), dtype=np.uint8)
+    out[:, :_PLACE_BYTES] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, _PLACE_BYTES)
+    return out.view("<i8").ravel()
+
+
 def bitmap(tokens: np.ndarray) -> bytes:
-    """Parities of the shingles in a power of two of bits, four times their number or more."""
-    bits = 1024
-    while bits < 4 * len(tokens):
+    """Parities of the shingles in a power of two of bits, twice their number or more."""
+    bits = 512
+    while bits < 2 * len(tokens):
         bits *= 2
     count = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes()
@@ -153,7 +168,7 @@ def sets_table(docs: DataFrame, key: str, text: str, rules: JaccardJoin) -> Data
                     if not n:
                         out.append((0, None, None, None, None))
                         continue
-                    prefix = np.sort(_ordered(tokens, known, place))[: rules.prefix(n)].tobytes()
+                    prefix = _packed(np.sort(_ordered(tokens, known, place))[: rules.prefix(n)])
                     gid = int.from_bytes(hashlib.blake2b(prefix + n.to_bytes(8, "little"), digest_size=8).digest(), "little", signed=True)
                     out.append((n, hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), gid, prefix, bitmap(tokens)))
                 n, *rest = zip(*out)
@@ -163,31 +178,30 @@ def sets_table(docs: DataFrame, key: str, text: str, rules: JaccardJoin) -> Data
 
 
 def _cells(sets: DataFrame, nodes: DataFrame, rules: JaccardJoin) -> DataFrame:
-    """(list, cell, cells, set, n, bits): prefix lists with two sets or more, long ones in several cells.
+    """(list, cell, cells, set): prefix lists with two sets or more, long ones in several cells.
 
     Lists that hold the same two groups come once.
     """
-    members = nodes.groupBy("gid", "n").agg(F.count("*").alias("members"))
-    groups = sets.filter("n > 0").groupBy("gid", "n").agg(F.first("prefix").alias("prefix")).join(members, ["gid", "n"])
+    members = nodes.groupBy("gid").agg(F.count("*").alias("members"))
+    groups = sets.filter("n > 0").select("gid", "prefix").distinct().join(members, "gid")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 some = batch.slice(lo, 1000)
-                raw = some.column(3).to_pylist()
-                at = pa.array(np.repeat(np.arange(some.num_rows), [len(p) // 8 for p in raw]))
-                tokens = pa.array(np.frombuffer(b"".join(raw), dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([tokens, *(some.column(c).take(at) for c in range(3))], names=["list", "gid", "n", "members"])
+                raw = some.column(2).to_pylist()
+                raw = [_packed(np.unique(_unpacked(p))) for p in raw]  # a place that two shingles share is listed once
+                at = pa.array(np.repeat(np.arange(some.num_rows), [len(p) // _PLACE_BYTES for p in raw]))
+                yield pa.RecordBatch.from_arrays([pa.array(_unpacked(b"".join(raw))), *(some.column(c).take(at) for c in range(2))], names=["list", "gid", "members"])
 
-    postings = groups.select("gid", "n", "members", "prefix").mapInArrow(listed, "list long, gid long, n long, members long")
+    postings = groups.select("gid", "members", "prefix").mapInArrow(listed, "list long, gid long, members long")
     counts = postings.groupBy("list").agg(F.sum("members").alias("sets"), F.count("*").alias("n_groups")).filter("sets >= 2")
-    shared = written(postings.select("list", "gid", "n").join(counts, "list"), "lists")
-    group = F.struct("gid", "n")
-    couples = shared.filter("n_groups <= 2").groupBy("list").agg(F.min(group).alias("a"), F.max(group).alias("b")).select("a", "b").distinct()
-    couples = couples.select(F.xxhash64("a", "b").alias("list"), F.lit(1).alias("cells"), F.explode(F.array_distinct(F.array("a", "b"))).alias("g"))
-    longer = shared.filter("n_groups > 2").select("list", F.ceil(F.col("sets") / rules.cell).cast("int").alias("cells"), group.alias("g"))
-    cells = longer.unionByName(couples).select("list", "cells", "g.gid", "g.n").join(nodes.select("gid", "n", "set", "bits"), ["gid", "n"])
-    return cells.select("list", F.pmod(F.xxhash64("set"), F.col("cells")).cast("int").alias("cell"), "cells", "set", "n", "bits")
+    shared = written(postings.select("list", "gid").join(counts, "list"), "lists")
+    couples = shared.filter("n_groups <= 2").groupBy("list").agg(F.min("gid").alias("a"), F.max("gid").alias("b")).select("a", "b").distinct()
+    couples = couples.select(F.xxhash64("a", "b").alias("list"), F.lit(1).alias("cells"), F.explode(F.array_distinct(F.array("a", "b"))).alias("gid"))
+    longer = shared.filter("n_groups > 2").select("list", F.ceil(F.col("sets") / rules.cell).cast("int").alias("cells"), "gid")
+    cells = longer.unionByName(couples).join(nodes.select("gid", "set"), "gid")
+    return cells.select("list", F.pmod(F.xxhash64("set"), F.col("cells")).cast("int").alias("cell"), "cells", "set")
 
 
 def _near(bits: list[bytes], sizes: np.ndarray, rules: JaccardJoin, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -214,7 +228,12 @@ def _near(bits: list[bytes], sizes: np.ndarray, rules: JaccardJoin, rows: np.nda
                 yield gi[real], gj[real], apart[i, j][real]
 
 
-def _best_partners(cells: DataFrame, rules: JaccardJoin) -> DataFrame:
+def _dealt(cells: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Cells with sizes and bitmaps, each whole in one task."""
+    return cells.join(nodes.select("set", "n", "bits"), "set").repartition("list", "cell").sortWithinPartitions("list", "cell", "set")
+
+
+def _best_partners(cells: DataFrame, nodes: DataFrame, rules: JaccardJoin) -> DataFrame:
     """(a, b): each set with the partner that has most partners itself, and with the closest one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,18 +257,21 @@ def _best_partners(cells: DataFrame, rules: JaccardJoin) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.binary(), pa.int64(), pa.int64()))], names=["a", "b", "degree", "apart"])
 
-    found = cells.repartition("list", "cell").sortWithinPartitions("list", "cell", "set").mapInArrow(run, "a binary, b binary, degree long, apart long")
+    found = _dealt(cells, nodes).mapInArrow(run, "a binary, b binary, degree long, apart long")
     best = found.groupBy("a").agg(F.max(F.struct("degree", "b"))["b"].alias("hub"), F.min(F.struct("apart", "b"))["b"].alias("close"))
     both = best.select("a", F.explode(F.array_distinct(F.array("hub", "close"))).alias("b"))
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _across(cells: DataFrame, labels: DataFrame, rules: JaccardJoin) -> DataFrame:
+def _across(cells: DataFrame, nodes: DataFrame, seen: DataFrame, labels: DataFrame, rules: JaccardJoin) -> DataFrame:
     """(a, b): all pairs that pass the bounds and lie in different components.
 
-    In a list of several cells the sets outside its largest component visit every
-    cell; those inside it need not meet each other.
+    ``seen`` lists the pairs of best partners.  In a list of one cell every pair that passes
+    was found before, so both its sets are in ``seen``.  In a list of several cells the
+    sets outside its largest component visit every cell; those inside need not meet.
     """
+    ends = seen.select(F.col("a").alias("set")).union(seen.select(F.col("b").alias("set"))).distinct()
+    cells = cells.filter("cells = 1").join(ends, "set", "left_semi").unionByName(cells.filter("cells > 1"))
     named = cells.join(labels, cells["set"] == labels["node"], "left").withColumn("label", F.coalesce("component", "set")).drop("node", "component")
     mixed = named.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("list")
     named = named.join(mixed, "list")
@@ -274,13 +296,13 @@ def _across(cells: DataFrame, labels: DataFrame, rules: JaccardJoin) -> DataFram
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out)], names=["a", "b"])
 
-    return rows.repartition("list", "cell").sortWithinPartitions("list", "cell", "set").mapInArrow(run, "a binary, b binary").distinct()
+    return _dealt(rows, nodes).mapInArrow(run, "a binary, b binary").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, text: str, key: str, rules: JaccardJoin) -> DataFrame:
     """The pairs whose sets are similar, on the shingles of the texts.  ``first`` names a document for each set."""
     ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-    wanted = first.join(ends, "set").select("set", "_key", "_hash")
+    wanted = written(first.join(ends, "set").select("set", "_key", "_hash"), "wanted")  # its size is known when the texts are joined
     rows = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     texts = rows.join(wanted, rows["_key"].eqNullSafe(wanted["_key"]) & (rows["_hash"] == wanted["_hash"])).select("set", "_text")
     texts = written(texts.dropDuplicates(["set"]), "texts")
@@ -310,9 +332,11 @@ def with_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
     nodes = written(nodes, "nodes")
     first = nodes.select("set", "first._key", "first._hash")
     cells = written(_cells(found, nodes, rules), "cells")
-    links = _verified(written(_best_partners(cells, rules), "pairs"), docs, first, text, key, rules)
+    best = written(_best_partners(cells, nodes, rules), "pairs")
+    links = _verified(best, docs, first, text, key, rules)
     labels = components(links)
-    across = written(_across(cells, labels, rules), "pairs")
+    across = written(_across(cells, nodes, best, labels, rules), "pairs")
+    dropped(docs.sparkSession, cells)
     if not across.isEmpty():
         labels = components(links.union(_verified(across, docs, first, text, key, rules)))
     rows = found.select("_key", "n", "set").join(labels, F.col("set") == F.col("node"), "left").withColumn("label", F.coalesce("component", "set"))
