@@ -89,3 +89,19 @@ def wide_correlations(wide: DataFrame, names: list[str], block: int = 40) -> Dat
     for more in found[1:]:
         out = out.unionByName(more)
     return out
+
+
+def correlation_matrix(wide: DataFrame, names: list[str]) -> list[tuple[str, str, float]]:
+    """(a, b, correlation) of all pairs in one pass over a complete wide table; pairs with a constant are left out.
+
+    The driver gets a number per pair of candidates, whatever the number of rows.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    if len(names) < 2:
+        return []
+    plain = wide.select(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(names)])
+    vectors = VectorAssembler(inputCols=plain.columns, outputCol="x").transform(plain).select("x")
+    matrix = Correlation.corr(vectors, "x").first()[0].toArray()
+    return [(names[i], names[j], float(matrix[i, j])) for i in range(len(names)) for j in range(i + 1, len(names)) if matrix[i, j] == matrix[i, j]]

@@ -102,12 +102,12 @@ def discover(df: DataFrame, target: str, lists: WorkingLists, proposals: Sequenc
     ranking, errors = None, []
     for round_ in range(limits.rounds):
         table, errors = scores(df, found, target, year, options)
-        table = table.persist()
-        rows = [(r["cand"], r["score"], r["origin"]) for r in table.select("cand", "score", "origin").collect()]
+        kept_rows = table.collect()  # a row per candidate; the next round's plan starts from it
+        table = df.sparkSession.createDataFrame(kept_rows, table.schema)
+        rows = [(r["cand"], r["score"], r["origin"]) for r in kept_rows]
         by_name = {c.label(): c for c in found}
-        wide = imputed_wide(df, [by_name[n] for n, _, _ in rows], [F.col("row_id")], options)
-        pairs = scoring.wide_correlations(wide, [n for n, _, _ in rows]).filter(F.abs("correlation") > limits.redundancy_correlation).collect() if len(rows) > 1 else []
-        stay = selection.greedy_prune(rows, [(p["a"], p["b"], p["correlation"]) for p in pairs], limits)
+        wide = imputed_wide(df, [by_name[n] for n, _, _ in rows], [], options)
+        stay = selection.greedy_prune(rows, scoring.correlation_matrix(wide, [n for n, _, _ in rows]), limits)
         ranking = selection.weak_veto(table, limits).filter(F.col("kept") & F.col("cand").isin(stay)).drop("kept", "weakest")
         if round_ == limits.rounds - 1:
             break

@@ -61,9 +61,9 @@ if __name__ == "__main__":
     sys.path[:0] = [ROOT]
     from pyspark.sql import SparkSession
 
-    import __spark_entry__ as entry
+    import __spark_entry__ as entry  # noqa: E402
 
-    session = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate()
+    session = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     names, sqls = sys.argv[2:] or list(entry.queries()), entry.oracle_sql()
     for name in names:
