@@ -14,7 +14,7 @@ import pyarrow as pa
 #: Odd multipliers of the 64-bit finaliser of the splitmix generator.
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that one numpy pass holds at most, unless a single text is longer.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:

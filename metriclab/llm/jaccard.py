@@ -93,12 +93,17 @@ def frequent_shingles(docs: DataFrame, text: str, rules: JaccardJoin) -> np.ndar
     """The most frequent shingles, rarest first.  Each stretch of a task counts its own; at most ``frequent`` are kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held: list[np.ndarray] = []
+        size = 0
 
         def counted() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            values = np.concatenate(held)
+            held.clear()
+            values.sort()
+            first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+            counts = np.diff(first, append=len(values))
             often = counts >= rules.often
-            return pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], names=["shingle", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(values[first[often]].view(np.int64)), pa.array(counts[often])], names=["shingle", "n"])
 
         for batch in batches:
             data, offsets = utf8(batch.column(0))
@@ -108,7 +113,7 @@ def frequent_shingles(docs: DataFrame, text: str, rules: JaccardJoin) -> np.ndar
                 size += sum(map(len, sets))
                 if size >= rules.stretch:
                     yield counted()
-                    held, size = [], 0
+                    size = 0
         if size:
             yield counted()
 
@@ -302,7 +307,7 @@ def _across(cells: DataFrame, nodes: DataFrame, seen: DataFrame, labels: DataFra
 def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, text: str, key: str, rules: JaccardJoin) -> DataFrame:
     """The pairs whose sets are similar, on the shingles of the texts.  ``first`` names a document for each set."""
     ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-    wanted = written(first.join(ends, "set").select("set", "_key", "_hash"), "wanted")  # its size is known when the texts are joined
+    wanted = first.join(ends, "set").select("set", "_key", "_hash").hint("merge")  # as many rows as sets that have a partner
     rows = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     texts = rows.join(wanted, rows["_key"].eqNullSafe(wanted["_key"]) & (rows["_hash"] == wanted["_hash"])).select("set", "_text")
     texts = written(texts.dropDuplicates(["set"]), "texts")
