@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, chunks, htmltext, jaccard, mixing, quality, spans, units, vectors
+from . import bpe, chat, chunks, htmltext, jaccard, mixing, quality, repeats, spans, units, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.chat_formatted(chat.as_log(rows)))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.cut_digests(docs, repeats.repeated_spans(docs)).drop("spans")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.with_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.drop("text")
@@ -65,6 +70,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_chat_format": op2_chat_format,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_vector_dedup": op5_vector_dedup,
     "op6_unit_dedup": op6_unit_dedup,

@@ -72,7 +72,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def row_id(key: str, text: str) -> dict[str, Column]:
+    """A document by one number, a hash of its key and text, beside the size of the text."""
+    return {"_row": F.xxhash64(F.col(key), F.col(text)), "_size": F.coalesce(F.octet_length(text), F.lit(0))}
+
+
 def _with_spans(docs: DataFrame, spans: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with their spans, which name a document by ``ROW`` or by ``row_id``."""
+    if "_row" in spans.columns:
+        found = spans.distinct().groupBy("_row", "_size").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
+        return docs.withColumns(row_id(key, text)).join(found, ["_row", "_size"], "left").select(*docs.columns, "_spans")
     marked = docs.withColumns({"_key": F.col(key), "_hash": F.xxhash64(text)})
     found = gathered(spans)
     return marked.join(found, same_row(marked, found), "left").drop(*ROW)
