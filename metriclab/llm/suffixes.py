@@ -216,5 +216,6 @@ def repeated_starts(bodies: list[bytes], owners: np.ndarray, offsets: np.ndarray
     real = np.bitwise_or.reduceat(other, first)[run]
     chosen, at = body[real], within[real]
     by = np.lexsort((at, chosen))
-    cuts = np.searchsorted(chosen[by], np.arange(len(bodies) + 1))
-    return [at[by][a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+    chosen, at = chosen[by], at[by]
+    cuts = np.searchsorted(chosen, np.arange(len(bodies) + 1))
+    return [at[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
