@@ -76,10 +76,11 @@ def folded(log: DataFrame, block_turns: int = 64) -> DataFrame:
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     ).repartition("conv_id", "block")
     order = Window.partitionBy("conv_id", "block", "turn").orderBy("seq", "rank", "role", "text")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)  # by rows: equal events count one after the other
     events = events.withColumns({
         "at": F.row_number().over(order),
-        "part": F.sum((F.col("rank") == 1).cast("int")).over(order),
-        "start": F.sum((F.col("rank") < len(KINDS)).cast("int")).over(order),
+        "part": F.sum((F.col("rank") == 1).cast("int")).over(so_far),
+        "start": F.sum((F.col("rank") < len(KINDS)).cast("int")).over(so_far),
     })
     pieces = events.groupBy("conv_id", "block", "turn", "part", "start").agg(F.sort_array(F.collect_list(F.struct("at", "role", "text"))).alias("events"))
     role = F.get(F.filter(F.col("events.role"), lambda r: r != ""), F.lit(0))
@@ -101,7 +102,7 @@ def rendered(messages: DataFrame, template: Template = Template()) -> DataFrame:
         (F.length(template.escaped(F.col("role"))) + len(template.start) + len(template.middle)).alias("skip"), F.length(template.escaped(F.col("text"))).alias("size"),
     )
     order = Window.partitionBy("conv_id", "block").orderBy("turn", "part", "body")
-    own = own.withColumn("place", F.row_number().over(order)).withColumn("begin", F.sum(F.length("body")).over(order) - F.length("body"))
+    own = own.withColumn("place", F.row_number().over(order)).withColumn("begin", F.sum(F.length("body")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.length("body"))
     grouped = own.groupBy("conv_id", "block").agg(
         F.sort_array(F.collect_list(F.struct("place", "body"))).alias("bodies"),
         F.sort_array(F.collect_list(F.when(F.col("trained"), F.struct((F.col("begin") + F.col("skip")).alias("start"), F.col("size").cast("long").alias("size"))))).alias("spans"),
