@@ -73,36 +73,40 @@ def with_copies(
     same result for any partitioning.
     """
     added = ("size", "source_size", "target", "copies", "taken")
-    sized = docs.drop(*added).withColumn("size", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"))
-    per = source_targets(sized.select(F.col(source).alias("source"), "size"), weights, budget, max_repeat)
+    docs = docs.drop(*added)
+    words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    # the columns of docs are packed, so none of their names can clash
+    slim = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words)
+    full = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    per = source_targets(slim.select("source", "size"), weights, budget, max_repeat)
     per = per.select(
-        F.col("source").alias("_source"), "source_size", "target",
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("_rate"),
-        F.ceil(F.col("n_docs") / F.lit(bucket_rows)).alias("_buckets"),
-        _unit(F.concat(F.lit(f"{seed}/"), F.coalesce("source", F.lit("")))).alias("_offset"),
+        F.col("source").alias("of"), "source_size", "target",
+        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate"),
+        F.ceil(F.col("n_docs") / F.lit(bucket_rows)).alias("buckets"),
+        _unit(F.concat(F.lit(f"{seed}/"), F.coalesce("source", F.lit("")))).alias("shift"),
     )
 
     def bucketed(rows: DataFrame) -> DataFrame:
-        drawn = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
-        return rows.join(per, rows[source].eqNullSafe(per["_source"])).withColumn("_bucket", drawn % F.col("_buckets"))
-
-    totals = bucketed(sized.select(key, source, "size")).groupBy("_source", "_bucket").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_source", "_bucket").orderBy("size", key)
-    ranked = bucketed(sized).withColumn("_rank", F.row_number().over(inside))
-    ranked = ranked.join(starts, ranked["_source"].eqNullSafe(starts["_s"]) & (ranked["_bucket"] == starts["_b"]))
-    through = F.col("_start") + F.col("_rank")
-    crossed = F.floor(through * F.col("_rate") + F.col("_offset")) - F.floor((through - 1) * F.col("_rate") + F.col("_offset"))
-    copies = F.least(crossed, F.ceil(F.col("_rate"))).cast("long")
-    out = ranked.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-    return out.select(*sized.columns, "source_size", "target", "copies", "taken")
+        drawn = F.conv(F.substring(F.md5(F.coalesce(F.col("k").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
+        return rows.join(per, rows["source"].eqNullSafe(per["of"])).withColumn("bucket", drawn % F.col("buckets"))
+
+    totals = bucketed(slim).groupBy("of", "bucket").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("of").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(F.col("of").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("of", "bucket").orderBy("size", "k")
+    ranked = bucketed(full).withColumn("rank", F.row_number().over(inside))
+    ranked = ranked.join(starts, ranked["of"].eqNullSafe(starts["s"]) & (ranked["bucket"] == starts["b"]))
+    through = F.col("start") + F.col("rank")
+    crossed = F.floor(through * F.col("rate") + F.col("shift")) - F.floor((through - 1) * F.col("rate") + F.col("shift"))
+    copies = F.least(crossed, F.ceil(F.col("rate"))).cast("long")
+    return ranked.select("doc.*", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is drawn, with the columns of ``docs``."""
-    drawn = with_copies(docs, **settings).filter("copies > 0")
-    return drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    kept = docs.select("*", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__metriclab_doc"))
+    drawn = with_copies(kept, **settings).filter("copies > 0")
+    return drawn.select("__metriclab_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("__metriclab_doc.*")
 
 
 #: The same draw in DuckDB, with the settings of the query.

@@ -56,11 +56,6 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["_key"].eqNullSafe(b["_key"]) & (a["_hash"] == b["_hash"])
 
 
-def gathered(spans: DataFrame) -> DataFrame:
-    """A row per document with its spans in order; as many as the text has room for."""
-    return spans.distinct().groupBy(*ROW).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-
-
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Sorted spans with those that touch or overlap put together."""
     out: list[tuple[int, int]] = []
@@ -77,14 +72,26 @@ def row_id(key: str, text: str) -> dict[str, Column]:
     return {"_row": F.xxhash64(F.col(key), F.col(text)), "_size": F.coalesce(F.octet_length(text), F.lit(0))}
 
 
+#: Name of the column of spans beside the packed columns of a table.
+_SPANS = "__metriclab_spans"
+
+
 def _with_spans(docs: DataFrame, spans: DataFrame, key: str, text: str) -> DataFrame:
-    """``docs`` with their spans, which name a document by ``ROW`` or by ``row_id``."""
+    """``docs`` with their spans, which name a document by ``ROW`` or by ``row_id``.
+
+    The columns of ``docs`` are packed, so none of their names can clash.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
     if "_row" in spans.columns:
-        found = spans.distinct().groupBy("_row", "_size").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-        return docs.withColumns(row_id(key, text)).join(found, ["_row", "_size"], "left").select(*docs.columns, "_spans")
-    marked = docs.withColumns({"_key": F.col(key), "_hash": F.xxhash64(text)})
-    found = gathered(spans)
-    return marked.join(found, same_row(marked, found), "left").drop(*ROW)
+        names = ["_row", "_size"]
+        marked = docs.select(whole, *[c.alias(n) for n, c in row_id(key, text).items()])
+    else:
+        names = list(ROW)
+        marked = docs.select(whole, F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"))
+    found = spans.distinct().groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(_SPANS))
+    first, second = names
+    same = marked[first].eqNullSafe(found[first]) & (marked[second] == found[second])
+    return marked.join(found, same, "left").select("_doc.*", _SPANS)
 
 
 def cut(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
