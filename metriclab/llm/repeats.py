@@ -155,8 +155,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rul
     """
     table = written(anchor_table(docs, key, text, rules), "anchors")
     groups = table.groupBy("h").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b")).filter("n > 1").select("h", (F.col("a") == F.col("b")).alias("equal"))
-    shared = written(table.join(groups, "h"), "shared")
-    dropped(docs.sparkSession, table)
+    groups = written(groups, "hashes")  # both sides of the join are then plain shuffles, whose hot partitions the engine splits
+    shared = written(table.join(groups.hint("merge"), "h"), "shared")
+    dropped(docs.sparkSession, table, groups)
     place = ["_row", "_size", F.col("lo").cast("long").alias("start"), (F.col("lo") + F.col("shape").bitwiseAND(0xFFFF)).cast("long").alias("end")]
     differ = shared.filter("not equal")
     contexts = differ.groupBy("h", "context").agg(F.count("*").alias("n"), F.min(F.struct("_row", "_size", "lo", "shape")).alias("one"))
