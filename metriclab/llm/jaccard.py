@@ -117,9 +117,17 @@ def frequent_shingles(docs: DataFrame, text: str, rules: JaccardJoin) -> np.ndar
         if size:
             yield counted()
 
-    counts = docs.select(text).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "shingle").limit(rules.frequent).toPandas()
-    return top["shingle"].to_numpy(dtype=np.int64).view(np.uint64)[::-1].copy()
+    counts = written(docs.select(text).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "counts")
+    # a histogram in steps of an eighth of a doubling tells from which count on at most ``frequent`` are left
+    step = F.floor(F.log2("n") * 8).cast("int")
+    least, total = None, 0
+    for r in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        if (total := total + r["count"]) > rules.frequent:
+            break
+        least = r["step"]
+    top = counts.filter(step >= least).toPandas().sort_values(["n", "shingle"]) if least is not None else None
+    dropped(docs.sparkSession, counts)
+    return top["shingle"].to_numpy(dtype=np.int64).view(np.uint64).copy() if top is not None else np.zeros(0, np.uint64)
 
 
 def _ordered(tokens: np.ndarray, known: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -346,6 +354,7 @@ def with_components(docs: DataFrame, key: str = "doc_id", text: str = "text", ru
         labels = components(links.union(_verified(across, docs, first, text, key, rules)))
     rows = found.select("_key", "n", "set").join(labels, F.col("set") == F.col("node"), "left").withColumn("label", F.coalesce("component", "set"))
     least = rows.filter("label is not null").groupBy("label").agg(F.min("_key").alias("least"))
+    least = written(least, "least")  # both sides of the join are then plain shuffles, whose hot partitions the engine splits
     rows = rows.join(least, "label", "left")
     own = F.when(F.col("label").isNull(), F.col("_key")).otherwise(F.col("least"))
     return rows.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
@@ -357,6 +366,20 @@ def _tagged(docs: DataFrame, key: str, text: str, rules: JaccardJoin) -> DataFra
     return sets_table(paired, "row", "text", rules).select("_key._key", "_key._hash", "n", "set", "gid", "prefix", "bits")
 
 
+#: DuckDB, for tables of test size: all pairs that share a shingle, and a walk over the links.
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+u AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 2)) AS i FROM d WHERE len(ws) >= 4),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 3], ' ') AS g FROM u UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM d WHERE len(ws) BETWEEN 1 AND 3),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: JaccardJoin = JaccardJoin()) -> DataFrame:
     """The rows of ``docs`` that stand for their component, with the columns of ``docs``: those of the smallest key.
 
