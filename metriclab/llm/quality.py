@@ -154,3 +154,38 @@ def with_quality(docs: DataFrame, text: str = "text", rules: RepetitionRules = R
 def quality_filtered(docs: DataFrame, text: str = "text", rules: RepetitionRules = RepetitionRules()) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
     return with_quality(docs.select("*"), text, rules).filter("kept").select(*docs.columns)
+
+
+#: DuckDB: the same measures and verdict.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+h AS (SELECT doc_id, i, length(word) AS size, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS t3, lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o AS t45,
+        lead(word, 5) OVER o AS w6, lead(word, 6) OVER o AS w7, lead(word, 7) OVER o AS w8, lead(word, 8) OVER o AS w9, lead(word, 9) OVER o AS w10 FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+g3 AS (SELECT doc_id, i, t3 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, t3) > 1 AS twice FROM h),
+c3 AS (SELECT doc_id, i, max(CASE WHEN twice THEN i END) OVER (PARTITION BY doc_id ORDER BY i) + 2 >= i AS inside FROM g3),
+r3 AS (SELECT doc_id, count(*) FILTER (WHERE inside) AS n_repeat_words FROM c3 GROUP BY doc_id),
+j AS (
+  SELECT doc_id, i, size, 5 AS n, 0.15::DOUBLE AS most, t3 || ' ' || t45 AS gram FROM h
+  UNION ALL SELECT doc_id, i, size, 6, 0.14, t3 || ' ' || t45 || ' ' || w6 FROM h
+  UNION ALL SELECT doc_id, i, size, 7, 0.13, t3 || ' ' || t45 || ' ' || w6 || ' ' || w7 FROM h
+  UNION ALL SELECT doc_id, i, size, 8, 0.12, t3 || ' ' || t45 || ' ' || w6 || ' ' || w7 || ' ' || w8 FROM h
+  UNION ALL SELECT doc_id, i, size, 9, 0.11, t3 || ' ' || t45 || ' ' || w6 || ' ' || w7 || ' ' || w8 || ' ' || w9 FROM h
+  UNION ALL SELECT doc_id, i, size, 10, 0.10, t3 || ' ' || t45 || ' ' || w6 || ' ' || w7 || ' ' || w8 || ' ' || w9 || ' ' || w10 FROM h),
+gn AS (SELECT doc_id, n, most, i, size, gram IS NOT NULL AND row_number() OVER (PARTITION BY doc_id, gram ORDER BY i) > 1 AS again FROM j),
+cn AS (SELECT *, max(CASE WHEN again THEN i END) OVER (PARTITION BY doc_id, n ORDER BY i) + n - 1 >= i AS inside FROM gn),
+rn AS (SELECT doc_id, n, coalesce(sum(size) FILTER (WHERE inside), 0)::BIGINT AS chars, coalesce(sum(size) FILTER (WHERE inside), 0)::DOUBLE / sum(size) / any_value(most) AS share FROM cn GROUP BY doc_id, n),
+wn AS (SELECT doc_id, n AS worst_gram, chars AS dup_gram_chars FROM rn WHERE share > 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY share DESC, n) = 1),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+m AS (SELECT doc_id, length(line) AS size, row_number() OVER (PARTITION BY doc_id, line ORDER BY i) > 1 AS again FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+q AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE again) AS n_dup_lines, sum(size)::BIGINT AS line_chars, coalesce(sum(size) FILTER (WHERE again), 0)::BIGINT AS dup_line_chars FROM m GROUP BY doc_id),
+f AS (
+  SELECT d.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(line_chars, 0) AS line_chars,
+    coalesce(dup_line_chars, 0) AS dup_line_chars, coalesce(dup_gram_chars, 0) AS dup_gram_chars, coalesce(worst_gram, 0) AS worst_gram
+  FROM d LEFT JOIN r3 ON r3.doc_id = d.doc_id LEFT JOIN wn ON wn.doc_id = d.doc_id LEFT JOIN q ON q.doc_id = d.doc_id),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, dup_line_chars, dup_gram_chars, CAST(worst_gram AS INTEGER) AS worst_gram, base_failed,
+  NOT (base_failed OR worst_gram > 0 OR n_dup_lines > 0.3::DOUBLE * n_lines OR dup_line_chars > 0.2::DOUBLE * line_chars OR n_symbols > 0.1::DOUBLE * n_words) AS kept
+FROM b
+"""

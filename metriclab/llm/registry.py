@@ -88,4 +88,4 @@ r AS (SELECT vec_id AS a, vec_id AS b FROM u UNION SELECT r.a, l.b FROM r JOIN l
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c
 """
-ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "op7_mix_sources": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_jaccard_join": jaccard.ORACLE}
