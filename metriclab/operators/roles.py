@@ -145,3 +145,28 @@ def ratio_pairs(df: DataFrame, numerators: Sequence[str], denominators: Sequence
     return found.select("num", "den", F.col("rho").alias("correlation"), ~(F.coalesce(F.abs("rho"), F.lit(0.0)) >= limits.tautology_correlation)).toDF("num", "den", "correlation", "kept")
 
 
+
+
+def merged_classification(classes: dict[str, dict], leaks: DataFrame, notes: DataFrame) -> dict[str, dict]:
+    """Classes of columns with what the data say: leaks of numeric columns override, notes on repeats are added.
+
+    Both tables have a row per column at most.
+    """
+    out = {k: dict(v) for k, v in classes.items()}
+    for r in leaks.collect():
+        if out.get(r["column_name"], {}).get("role") == "numeric":
+            out[r["column_name"]] |= {"leaks": r["leaks"], "correlation": None if r["correlation"] is None else round(r["correlation"], 4)}
+    for r in notes.collect():
+        if r["column_name"] in out:
+            out[r["column_name"]]["note"] = " ".join(filter(None, [out[r["column_name"]].get("note", ""), r["note"]]))
+    return out
+
+
+def lists_from_classes(df: DataFrame, classes: dict[str, dict], target: str, limits: Thresholds = Thresholds()) -> tuple[WorkingLists, list[str]]:
+    """Working lists with the classes taken into account, and where the data disagree with them about dimensions."""
+    rates = [c for c, v in classes.items() if v.get("is_rate")]
+    whole = [c for c, v in classes.items() if v.get("role") == "numeric" and v.get("can_divide") is False]
+    table = roles_table(df, target, rates, whole, limits)
+    lists = working_lists(table)
+    said = {c for c, v in classes.items() if v.get("is_dimension") and c != target}
+    return lists, [f"{c}: {'classified as a dimension' if c in said else 'not classified as a dimension'}, the data say otherwise" for c in sorted(said ^ set(lists.dims)) if c in df.columns]
