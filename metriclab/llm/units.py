@@ -50,6 +50,7 @@ def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text", uni
     """
     found = written(spans.scanned(docs, key, text, units.listed, "digest binary, start long, end long", [pa.binary(), pa.int64(), pa.int64()]), "units")
     first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("_key", "_hash", "start")).alias("first")).filter("n > 1").select("digest", "first")
+    first = written(first, "firsts")  # both sides of the join are then plain shuffles, whose hot partitions the engine splits
     place = F.struct("_key", "_hash", "start")
     return found.join(first, "digest").filter(~place.eqNullSafe(F.col("first"))).select(*spans.ROW, "start", "end")
 
