@@ -100,6 +100,7 @@ def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", ch
     found = written(spans.scanned(docs, key, text, chunks.listed, "digest binary, start long, end long", [pa.binary(), pa.int64(), pa.int64()]), "chunks")
     place = F.struct("_key", "_hash", "start")
     earliest = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("earliest")).filter("n > 1").select("digest", "earliest")
+    earliest = written(earliest, "firsts")  # both sides of the join are then plain shuffles, whose hot partitions the engine splits
     wanted = found.join(earliest, "digest").withColumn("first", place.eqNullSafe(F.col("earliest"))).drop("earliest")
     body = written(_fetched(docs, wanted, key, text), "chunk-bytes")
     heads = body.filter("first").groupBy("digest").agg(F.first("body").alias("head"))
