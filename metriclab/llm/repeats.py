@@ -41,9 +41,13 @@ class Repeats:
 
 
 def anchor_table(docs: DataFrame, key: str, text: str, rules: Repeats) -> DataFrame:
-    """(_row, _size, h, context, lo, left, width) of every anchor: its hash, its context's hash and place."""
+    """(_row, _size, h, context, lo, shape, last, n): hash and context of anchors.
+
+    ``lo`` and ``shape`` place the context and the anchor in it.  In a periodic text equal
+    contexts follow one another; such a run is one row with ``n`` anchors that ends at ``last``.
+    """
     rows = docs.select(*[c.alias(n) for n, c in spans.row_id(key, text).items()], F.coalesce(text, F.lit("")).alias("_text"))
-    names = ["_row", "_size", "h", "context", "lo", "shape"]
+    names = ["_row", "_size", "h", "context", "lo", "shape", "last", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,11 +63,19 @@ def anchor_table(docs: DataFrame, key: str, text: str, rules: Repeats) -> DataFr
                     h, place, lo, hi, context = rules.anchors.found(text, ends)
                     which = np.searchsorted(ends, place, side="right")
                     base = np.array([s for _, s, _ in some]) - np.concatenate([[0], ends[:-1]])
-                    rows = pa.array(first + np.array([r for r, _, _ in some])[which])
-                    shape = ((place - lo) << 16) | (hi - lo)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(h.view(np.int64)), pa.array(context.view(np.int64)), pa.array((lo + base[which]).astype(np.int32)), pa.array(shape.astype(np.int32))], names=names)
+                    if not len(place):
+                        continue
+                    opens = np.ones(len(place), dtype=bool)
+                    opens[1:] = (h[1:] != h[:-1]) | (context[1:] != context[:-1]) | (which[1:] != which[:-1]) | (lo[1:] > hi[:-1])
+                    at_first = np.flatnonzero(opens)
+                    at_last = np.append(at_first[1:], len(place)) - 1
+                    rows = pa.array(first + np.array([r for r, _, _ in some])[which[at_first]])
+                    shift = base[which[at_first]]
+                    numbers = (lo[at_first] + shift, (((place - lo) << 16) | (hi - lo))[at_first], hi[at_last] + shift, at_last - at_first + 1)
+                    hashes = (pa.array(x[at_first].view(np.int64)) for x in (h, context))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *hashes, *(pa.array(x.astype(np.int32)) for x in numbers)], names=names)
 
-    return rows.mapInArrow(run, "_row long, _size int, h long, context long, lo int, shape int")
+    return rows.mapInArrow(run, "_row long, _size int, h long, context long, lo int, shape int, last int, n int")
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame, key: str, text: str, rules: Repeats) -> DataFrame:
@@ -154,13 +166,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rul
     Rows repeated with equal key and text repeat each other.
     """
     table = written(anchor_table(docs, key, text, rules), "anchors")
-    groups = table.groupBy("h").agg(F.count("*").alias("n"), F.min("context").alias("a"), F.max("context").alias("b")).filter("n > 1").select("h", (F.col("a") == F.col("b")).alias("equal"))
+    groups = table.groupBy("h").agg(F.sum("n").alias("n"), F.min("context").alias("a"), F.max("context").alias("b")).filter("n > 1").select("h", (F.col("a") == F.col("b")).alias("equal"))
     groups = written(groups, "hashes")  # both sides of the join are then plain shuffles, whose hot partitions the engine splits
     shared = written(table.join(groups.hint("merge"), "h"), "shared")
     dropped(docs.sparkSession, table, groups)
-    place = ["_row", "_size", F.col("lo").cast("long").alias("start"), (F.col("lo") + F.col("shape").bitwiseAND(0xFFFF)).cast("long").alias("end")]
+    place = ["_row", "_size", F.col("lo").cast("long").alias("start"), F.col("last").cast("long").alias("end")]
     differ = shared.filter("not equal")
-    contexts = differ.groupBy("h", "context").agg(F.count("*").alias("n"), F.min(F.struct("_row", "_size", "lo", "shape")).alias("one"))
+    contexts = differ.groupBy("h", "context").agg(F.sum("n").alias("n"), F.min(F.struct("_row", "_size", "lo", "shape")).alias("one"))
     contexts = written(contexts, "contexts")
     crowds = contexts.groupBy("h").agg((F.count("*") > rules.crowd).alias("crowded"))
     wanted = contexts.join(crowds, "h").select("h", "one.*", (F.col("n") == 1).alias("alone"), "crowded")
