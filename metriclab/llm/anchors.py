@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .bytesets import mix, prefix_hash, span_hash
+from .bytesets import mix, prefix_hash, span_hash, window_hash
 
 #: Bytes of a text that are looked at together; longer texts are cut with overlap.
 PART = 1 << 20
@@ -45,9 +45,9 @@ class Anchors:
             return none.view(np.uint64), none, none, none, none.view(np.uint64)
         prefix = prefix_hash(data)
         count = n - k + 1
-        at = np.arange(count)
-        hashes = span_hash(prefix, at, at + k)
-        ranked = (mix(hashes + np.uint64(77)) & ~_PLACE) | at.astype(np.uint64)
+        hashes = window_hash(prefix, k)
+        ranked = hashes & ~_PLACE
+        ranked |= np.arange(count, dtype=np.uint64)
         padded = np.full(-(-count // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
         padded[:count] = ranked
         table = padded.reshape(-1, width)

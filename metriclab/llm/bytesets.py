@@ -64,6 +64,13 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(body + (end - start).astype(np.uint64) * _STEP)
 
 
+def window_hash(prefix: np.ndarray, size: int) -> np.ndarray:
+    """``span_hash`` of every span of one size."""
+    body = (prefix[size:] - prefix[:-size]) * _powers(_INVERSE, len(prefix))[: len(prefix) - size]
+    body += np.uint64(size * int(_STEP) % (1 << 64))
+    return mix(body)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; a null counts as empty."""
     if column.null_count:

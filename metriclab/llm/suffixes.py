@@ -78,11 +78,10 @@ class BucketQueue:
 def types(text: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than their right neighbours; the end symbol's is."""
     n = len(text)
+    # the end symbol differs from its neighbour, so every place has a next one that differs
     differs = np.flatnonzero(text[1:] != text[:-1])
-    nearest = np.searchsorted(differs, np.arange(n - 1))
-    at = differs[np.minimum(nearest, len(differs) - 1)]
     small = np.ones(n, dtype=bool)
-    small[:-1] = text[at] < text[at + 1]
+    small[:-1] = np.repeat(text[differs] < text[differs + 1], np.diff(differs, prepend=-1))
     return small
 
 
@@ -164,7 +163,7 @@ def suffix_order(text: np.ndarray, depth: int, held: int = 1 << 24) -> np.ndarra
     rank = np.empty(len(marks), dtype=np.int64)
     rank[which] = np.cumsum(~equal) - 1
     step, names = 1, int(rank.max()) + 1
-    while names < len(marks) and 2 * step < 2 * depth:
+    while names < len(marks) and 2 * step < depth:  # a stretch has two symbols or more
         ahead = np.zeros(len(marks), dtype=np.int64)
         ahead[:-step] = rank[step:] + 1
         key = rank * (names + 1) + ahead
