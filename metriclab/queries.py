@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .operators import candidates as C
 from .operators import cleaning, effects, profiling, roles, scoring, selection
 from .operators.importance import forest_importance
-from .plans.discovery import Options, discover, imputed_wide, numbered
+from .plans.discovery import Options, discover, imputed_wide, numbered, scores
 from .settings import Thresholds
 from .sources import readers
 from .streaming.events import windowed_counts
@@ -396,7 +396,7 @@ def pct_sql(value: str) -> str:
 
 INFO_SQL = f"i AS (SELECT cand, round(coalesce(spread / nullif(abs(mean), 0), 0), 9) AS variation FROM s), info AS (SELECT cand, variation, {pct_sql('variation')} AS information FROM i)"
 STAB_SQL = f"ym AS (SELECT cand, year, avg(v) AS m FROM long WHERE year IS NOT NULL GROUP BY cand, year), dr AS (SELECT cand, stddev_samp(m) / nullif(abs(avg(m)), 0) AS drift FROM ym GROUP BY cand), fl AS (SELECT cand, drift, coalesce(drift, max(drift) OVER ()) AS filled FROM dr), stab AS (SELECT cand, drift, 1 - {pct_sql('filled')} AS stability FROM fl)"
-#: A stand-in for the forest's share, the same in both engines.
+#: A stand-in for the forest's share and the origin, the same in both engines; ``forest_scores`` has the real ones.
 PREDICTIVE = "length(cand) / 80.0"
 ORIGIN = "CASE WHEN cand LIKE 'ratio%' THEN 'domain' WHEN cand LIKE 'mean%' THEN 'crossover' ELSE 'exhaustive' END"
 SCORES_SQL = (
@@ -485,14 +485,34 @@ def _(spark, sf_dir):
     return rounded(scoring.wide_correlations(wide, [c.label() for c in some]))
 
 
+def forest_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[C.Candidate], DataFrame]:
+    """The numbered flat table, all candidates with the guided ones, and their scores with the forest at its defaults."""
+    df = numbered(flat(spark, sf_dir))
+    domain, _ = C.guided(df, PROPOSALS, df.columns, cleaning.numeric_columns(df), TARGET)
+    found = C.unique([*domain, *[c for c, _ in SCORED]])
+    return df, found, scores(df, found, TARGET, "year(o_orderdate)", Options())[0]
+
+
 @register("redundancy_prune")
 def _(spark, sf_dir):
-    some = [c for c, _ in SCORED[:6]]
-    wide = imputed_wide(flat(spark, sf_dir), some, [], Options())
-    pairs = [tuple(r) for r in scoring.wide_correlations(wide, [c.label() for c in some]).collect()]
-    rows = [(r["cand"], r["score"], r["origin"]) for r in scoring.composite(score_table(spark, sf_dir)).collect()]
-    kept = selection.greedy_prune([r for r in rows if r[0] in {c.label() for c in some}], pairs)
-    return score_table(spark, sf_dir).filter(F.col("cand").isin(kept)).select("cand", "origin")
+    df, found, table_ = forest_scores(spark, sf_dir)
+    rows = [(r["cand"], r["score"], r["origin"]) for r in table_.select("cand", "score", "origin").collect()]
+    names = {n for n, _, _ in rows}
+    wide = imputed_wide(df, [c for c in found if c.label() in names], [], Options())
+    kept = selection.greedy_prune(rows, scoring.correlation_matrix(wide, sorted(names)))
+    return table_.filter(F.col("cand").isin(kept)).select("cand", "origin")
+
+
+@register("indicator_ranking_forest")
+def indicator_ranking_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking with the forest's predictive score and the candidates' own origins."""
+    kept = selection.weak_veto(forest_scores(spark, sf_dir)[2]).filter("kept")
+    return rounded(selection.top_per_origin(kept.select("cand", "origin", "predictive", "significant", "information", "stability", "completeness", "score")), 6)
+
+
+@register("weight_grid_search_forest")
+def _(spark, sf_dir):
+    return rounded(selection.weight_search(forest_scores(spark, sf_dir)[2].fillna(0.5, list(selection.SCORES))), 6)
 
 
 @register("rf_importance")
