@@ -1,9 +1,9 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by chunks of lines.
 
-A rolling hash over the hashes of consecutive lines ends a chunk where its value
-falls below a limit, so the same run of lines is cut alike wherever it stands.
-Chunks of several lines whose digest repeats anywhere are fetched and compared byte
-by byte; all but the earliest of equal chunks are removed.
+Every line may begin or end a chunk, so the same run of lines is found wherever it
+stands; chunks overlap and what they cover together goes.  Chunks whose digest
+repeats anywhere are fetched and compared byte by byte; all but the earliest of
+equal chunks are removed.  The earliest place of a line always stays.
 """
 
 from __future__ import annotations
@@ -19,48 +19,29 @@ from pyspark.sql import functions as F
 from . import spans
 from .bytesets import utf8
 from .scratch import written
-
-#: Fixed value: an odd multiplier for the rolling hash.
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+from .windows import smallest
 
 
 @dataclass(frozen=True)
 class Chunks:
-    """A boundary follows one in ``lines`` lines on average; it depends on ``window`` lines.
-
-    Chunks of fewer than ``min_lines`` lines or ``min_words`` words stay.
-    """
+    """A chunk is a smallest window of ``min_lines`` lines and ``min_words`` words, from any line on or back from any line."""
 
-    lines: int = 4
-    window: int = 2
     min_lines: int = 2
     min_words: int = 10
 
     def listed(self, text: bytes) -> list[list]:
-        """Digest, start and end of each chunk that may be removed; a line includes its newline."""
+        """Digest, start and end of each chunk; a line includes its newline."""
         digests, starts, ends = [], [], []
-        drop, limit = pow(_BASE, self.window, 1 << 64), (1 << 64) // self.lines
-        recent: list[int] = []
-        rolling = begin = at = count = 0
-        lines = text.split(b"\n")
-        last = len(lines) - 1
-        for i, line in enumerate(lines):
-            at += len(line) + (i < last)
-            count += 1
-            value = int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little")
-            recent.append(value)
-            rolling = (rolling * _BASE + value) & _MASK
-            if len(recent) > self.window:
-                rolling = (rolling - recent[-1 - self.window] * drop) & _MASK
-            scrambled = (rolling ^ rolling >> 29) * _BASE & _MASK
-            if i == last or scrambled < limit:
-                if count >= self.min_lines and len((chunk := text[begin:at]).split()) >= self.min_words:
-                    # without the last newline, so that a chunk at the end of a text equals one inside
-                    digests.append(hashlib.blake2b(chunk.removesuffix(b"\n"), digest_size=16).digest())
-                    starts.append(begin)
-                    ends.append(at)
-                begin, count = at, 0
+        lines = text.removesuffix(b"\n").split(b"\n")
+        places = [0]
+        for line in lines:
+            places.append(places[-1] + len(line) + 1)
+        for first, last in smallest([len(line.split()) for line in lines], self.min_lines, self.min_words):
+            begin, end = places[first], min(places[last + 1], len(text))
+            # without the last newline, so that a chunk at the end of a text equals one inside
+            digests.append(hashlib.blake2b(text[begin : places[last + 1] - 1], digest_size=16).digest())
+            starts.append(begin)
+            ends.append(end)
         return [digests, starts, ends]
 
 
