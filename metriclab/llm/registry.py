@@ -49,6 +49,12 @@ def op6_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.cut_digests(docs, units.repeated_units(docs)).drop("spans")
 
 
+def op6_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``op6_unit_dedup``, with runs of sentences and short lines that have ten words together."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.cut_digests(docs, units.repeated_units(docs, units=units.Runs())).drop("spans")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.with_copies(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return found.select("doc_id", "size", "source_size", "target", "copies", "taken")
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_vector_dedup": op5_vector_dedup,
     "op6_unit_dedup": op6_unit_dedup,
+    "op6_run_dedup": op6_run_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,

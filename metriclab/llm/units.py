@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from . import spans
 from .scratch import written
+from .windows import smallest
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _ENDS = {"line": re.compile(rb"\n|\Z"), "paragraph": re.compile(rb"\n(?:[ \t\r]*\n)+|\Z")}
+_PIECE = re.compile(rb"(?<=[.!?])[ \t\r]+(?=\S)|\n|\Z")
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,26 @@ class Units:
         return [digests, starts, ends]
 
 
+@dataclass(frozen=True)
+class Runs(Units):
+    """A unit is a smallest run of whole sentences or lines that together have ``min_words`` words.
+
+    Units overlap, so that together they cover every repeated run of that size.  Only
+    words count, not how they are set in lines.
+    """
+
+    kind: str = "run"
+
+    def listed(self, text: bytes) -> list[list]:
+        pieces, places = [], [0]
+        for m in _PIECE.finditer(text):
+            pieces.append(text[places[-1] : m.start()].translate(_LOWER).split())
+            places.append(m.end())
+        found = smallest([len(p) for p in pieces], 1, self.min_words)
+        digests = [hashlib.blake2b(b" ".join(w for p in pieces[a : b + 1] for w in p), digest_size=16).digest() for a, b in found]
+        return [digests, [places[a] for a, _ in found], [places[b + 1] for _, b in found]]
+
+
 def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text", units: Units = Units()) -> DataFrame:
     """(_key, _hash, start, end) of all units but the earliest of each digest.
 

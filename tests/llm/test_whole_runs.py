@@ -1,13 +1,14 @@
-"""Repeated runs of lines against all equal runs."""
+"""Repeated runs of lines and sentences against all equal runs."""
 
 from __future__ import annotations
 
 import random
 import re
+from itertools import accumulate
 
 import pytest
 
-from metriclab.llm import chunks
+from metriclab.llm import chunks, units
 
 
 def texts(seed: int) -> list[str]:
@@ -55,3 +56,35 @@ def test_chunks_stay_bounded_among_blank_lines():
     text = b"\n" * 5000 + b"a b c d e f g h i j k\n" + b"\n" * 5000 + b"l m n o p q r s t u v\n"
     listed = chunks.Chunks().listed(text)
     assert sum(b - a for a, b in zip(*listed[1:])) < 3 * len(text)
+
+
+def test_runs_of_short_lines_and_sentences_go(spark):
+    verse = "roses are red\nviolets are blue\nsugar is sweet\nand so are you"
+    said = "It was a bright cold day in April, and clocks struck. Thirteen they said."
+    rows = [(1, f"one\n{verse}\ntwo"), (2, f"three\n{verse.upper()}\nfour"), (3, f"First of all. {said} And more."), (4, f"Other words here.\n{said}\nEnd."), (5, "roses are red\nviolets too"), (6, None)]
+    got = {r["doc_id"]: r["text"] for r in units.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), units=units.Runs()).collect()}
+    assert got == dict(rows) | {2: "three\nfour", 4: "Other words here.\nEnd."}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_runs_cover_every_repeated_run(spark, seed):
+    rows = texts(seed)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    found = units.without_repeats(docs, units=units.Runs()).collect()
+    seen: set[tuple[str, ...]] = set()
+    for i, text in enumerate(rows):
+        lines = re.findall(r"[^\n]*\n|[^\n]+$", text)
+        words = [x.split() for x in lines]
+        places, marks, fresh = [0, *accumulate(map(len, words))], set(), []
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                run = tuple(w for x in words[a : b + 1] for w in x)
+                if words[a] and words[b] and len(run) >= 10:
+                    fresh.append((a, b, run))
+        for a, b, run in fresh:
+            if run in seen:
+                marks |= set(range(places[a], places[b + 1]))
+            seen.add(run)
+        flat = [w for x in words for w in x]
+        got = next(r["text"] for r in found if r["doc_id"] == i)
+        assert got.split() == [w for n, w in enumerate(flat) if n not in marks], i
