@@ -39,7 +39,12 @@ NOISE = re.compile(
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,4000}+"|'[^']{0,4000}+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[a-zA-Z/][^>]*\Z""", re.S)
+#: A comment, a declaration, or the beginning of a tag.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)|<[a-zA-Z/][^>]*\Z""", re.S)
+#: A tag's end, or an attribute up to the quote of its value, or with its value.
+ATTRIBUTE = re.compile(r"""[\t\n\f\r /]*+(?:(>)|(=?[^\t\n\f\r />=]*+)(?:[\t\n\f\r ]*+=[\t\n\f\r ]*+(?:(["'])|[^\t\n\f\r >]*+))?)""")
+#: The attributes that say whether an element frames the content.
+READ = frozenset(("class", "id", "role", "hidden", "aria-hidden", "style"))
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 
@@ -69,11 +74,34 @@ def _names_noise(attributes: str) -> bool:
     return bool(names and NOISE.search(names)) or bool(HIDDEN.search(attributes))
 
 
+def _tag_end(page: str, at: int, lost: set[int]) -> tuple[int, str]:
+    """Where the tag whose name ends at ``at`` ends (-1: nowhere), and those of its attributes that are read.
+
+    ``lost`` keeps the places from which no end was found, so that no page is read over and over.
+    """
+    read, passed = [], []
+    while at not in lost and (m := ATTRIBUTE.match(page, at)) and m.end() > at:
+        if m[1]:
+            return m.end(), " ".join(read)
+        passed.append(at)
+        at = m.end()
+        if m[3]:
+            close = page.find(m[3], at)
+            if close < 0:
+                break
+            at = close + 1
+        if m[2] and m[2].lower() in READ:
+            read.append(page[m.start(2) : at])
+    lost.update(passed)
+    return -1, ""
+
+
 def pieces(page: str) -> list[_Piece]:
     """Text nodes of a page in order, with their paths; tolerant of missing end tags."""
     out: list[_Piece] = []
     stack: list[tuple[str, str, int, bool, bool]] = []  # tag, step of the path, number, noise, main
     block = number = at = 0
+    lost: set[int] = set()
 
     def add(text: str) -> None:
         if not text or text.isspace():
@@ -99,11 +127,15 @@ def pieces(page: str) -> list[_Piece]:
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+        tag = (m[2] or "").lower()
         if not tag:
             continue
-        attributes = m[3] or m[6] or ""
-        if m[1] or m[4]:
+        at, attributes = _tag_end(page, m.end(), lost)
+        if at < 0:  # a quote that never closes: the tag ends at the first bracket, or the page does
+            at = page.find(">", m.end()) + 1 or size
+            attributes = page[m.end() : at - 1]
+        empty = page[at - 2] == "/"
+        if m[1]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
             if depth >= 0:
                 close(depth)
@@ -111,6 +143,9 @@ def pieces(page: str) -> list[_Piece]:
                 block += 1
             continue
         if tag in RAW:
+            if empty and tag in ("svg", "math"):
+                block += 1
+                continue
             end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else size
             continue
@@ -123,7 +158,7 @@ def pieces(page: str) -> list[_Piece]:
                     break
         if tag not in INLINE:
             block += 1
-        if tag in VOID or attributes.endswith("/") and tag in INLINE:
+        if tag in VOID or empty and tag in INLINE:
             continue
         above = stack[-1] if stack else ("", "", 0, False, False)
         main = above[4] or tag in ("article", "main") or "role" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))

@@ -1,4 +1,4 @@
-"""Repeated runs of lines and sentences against all equal runs."""
+"""Repeated runs of lines and sentences against all equal runs, and tags with long values."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from itertools import accumulate
 
 import pytest
 
-from metriclab.llm import chunks, units
+from metriclab.llm import chunks, htmltext, units
 
 
 def texts(seed: int) -> list[str]:
@@ -88,3 +88,33 @@ def test_runs_cover_every_repeated_run(spark, seed):
         flat = [w for x in words for w in x]
         got = next(r["text"] for r in found if r["doc_id"] == i)
         assert got.split() == [w for n, w in enumerate(flat) if n not in marks], i
+
+
+def page(attributes: str) -> str:
+    return f"<html><body><div {attributes}><p>The first of some words, and a comma.</p></div><p>The main text is here, with words and a comma.</p></body></html>"
+
+
+def test_values_of_any_length_end_at_their_quote():
+    value = "{'html': '<b>data, data.</b>'} " * 400
+    assert "data" not in htmltext.main_text(page(f'data-x="{value}"'))
+    assert "first" not in htmltext.main_text(page(f'data-x="{value}" class="sidebar"'))
+    assert "first" in htmltext.main_text(page("""data-x='class="sidebar"'"""))
+    assert "first" in htmltext.main_text(page("title=it's"))
+    assert htmltext.main_text('<p>one, two.</p><img alt="never closed><p>three, four.</p>') == "one, two.\nthree, four."
+
+
+def test_self_closed_svg_and_math_are_empty():
+    for tag in ('<svg width="1"/>', "<math/>", "<SVG />"):
+        assert htmltext.main_text(f"<p>One, two, three.</p>{tag}<p>Four, five, six.</p>") == "One, two, three.\nFour, five, six."
+    assert htmltext.main_text("<p>One, two, three.</p><svg><text>no</text></svg><p>Four, five, six.</p>") == "One, two, three.\nFour, five, six."
+
+
+def test_open_quotes_are_not_read_over_and_over():
+    calls, find = [], htmltext._tag_end
+    lost: set[int] = set()
+    text = "<img b='>' " * 2000
+    for m in re.finditer("<img", text):
+        before = len(lost)
+        find(text, m.end(), lost)
+        calls.append(len(lost) - before)
+    assert sum(calls) < 3 * 2000 * 2
