@@ -518,9 +518,8 @@ def _(spark, sf_dir):
 @register("rf_importance")
 def _(spark, sf_dir):
     df = numbered(flat(spark, sf_dir))
-    some = [c for c, _ in SCORED[:6]]
-    wide = imputed_wide(df, some, [F.col("row_id"), F.col(TARGET).alias("y")], Options())
-    return forest_importance(wide, [c.label() for c in some], "y", trees=20, folds=2, depth=6)[0]
+    wide = imputed_wide(df, [c for c, _ in SCORED], [F.col("row_id"), F.col(TARGET).alias("y")], Options())
+    return forest_importance(wide, [c.label() for c, _ in SCORED], "y")[0]
 
 
 @register("quartile_effect", f"WITH {LONG_SQL}, b AS (SELECT cand, count(*) AS n, count(DISTINCT v) AS k, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM long WHERE v IS NOT NULL AND y IS NOT NULL GROUP BY cand), e AS (SELECT cand, q1, q3, quantile_cont(y, 0.5) FILTER (WHERE v <= q1) AS low_median, quantile_cont(y, 0.5) FILTER (WHERE v >= q3) AS high_median, count(*) FILTER (WHERE v <= q1) AS low_n, count(*) FILTER (WHERE v >= q3) AS high_n FROM long JOIN b USING (cand) WHERE v IS NOT NULL AND k >= 4 AND n >= 10 AND q1 <> q3 GROUP BY cand, q1, q3) SELECT cand, round(q1, 4) AS q1, round(q3, 4) AS q3, round(low_median, 3) AS low_median, round(high_median, 3) AS high_median, low_n, high_n, CASE WHEN high_median > low_median THEN 'positive' ELSE 'negative' END AS direction FROM e WHERE low_n >= 5 AND high_n >= 5")
@@ -555,9 +554,9 @@ register(
 
 @register("discovery_rounds")
 def _(spark, sf_dir):
-    """The whole loop with crossover on explicit working lists, without a forest."""
+    """The whole loop with crossover and forest on explicit working lists."""
     lists = roles.WorkingLists(dates=["l_shipdate", "o_orderdate"], dims=["p_brand", "o_orderpriority"], denominators=["l_quantity", "l_tax"], numerators=["o_totalprice", "p_retailprice"], targets=["c_acctbal"])
-    found = discover(flat(spark, sf_dir), TARGET, lists, PROPOSALS, options=Options(limits=Thresholds(rounds=2, best_ratios=3, final=10), use_forest=False))
+    found = discover(flat(spark, sf_dir), TARGET, lists, PROPOSALS, options=Options())
     return found.ranking.select("cand", "origin", "score")
 
 

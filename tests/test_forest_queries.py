@@ -47,3 +47,22 @@ def test_prune_and_weights_take_all_candidates(spark, sf_dir, forest):
     assert len(forest[0][0]) > 9
     rows = queries.QUERIES["weight_grid_search_forest"](spark, sf_dir).collect()
     assert len(rows) == 455 and all(0 < r["objective"] <= 1 for r in rows)
+
+
+def test_importance_runs_at_the_defaults(spark, sf_dir, monkeypatch):
+    asked = []
+    monkeypatch.setattr(queries, "forest_importance", lambda wide, names, target, **settings: asked.append((names, settings)) or (wide.limit(0), []))
+    queries.QUERIES["rf_importance"](spark, sf_dir)
+    assert asked == [([c.label() for c, _ in queries.SCORED], {})]
+
+
+def test_discovery_runs_all_rounds_at_the_defaults(spark, sf_dir, forest, monkeypatch):
+    asked, crossed = [], []
+    whole, cross = discovery.discover, C.crossed
+    monkeypatch.setattr(queries, "discover", lambda *a, **k: asked.append(k["options"]) or whole(*a, **k))
+    monkeypatch.setattr(C, "crossed", lambda best, dims, n: crossed.append((len(best), n)) or cross(best, dims, n))
+    monkeypatch.setattr(queries, "flat", lambda s, d, flat=queries.flat: flat(s, d).filter("l_orderkey % 5 = 0"))
+    rows = queries.QUERIES["discovery_rounds"](spark, sf_dir).collect()
+    assert asked == [discovery.Options()] and [s for _, s in forest] == [{"folds": 5, "trees": 200, "depth": 8}] * len(forest)
+    assert [n for _, n in crossed] == [1, 2] and len(forest) >= 2  # ends early only where crossing gives nothing new
+    assert rows and sum(r["origin"] != "domain" for r in rows) <= Thresholds().final
