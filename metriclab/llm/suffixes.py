@@ -6,7 +6,7 @@ leftmost S suffixes need sorting of their own.  Both scans are a priority queue
 first symbols: symbols leave in order, and within one the suffixes leave in the order
 in which they came.  Whole runs of a symbol are handled at once in numpy.
 
-The text is an array or a memory map, and a queue holds at most ``held`` suffixes in
+The text is an array in memory, as is the order, and a queue holds at most ``held`` suffixes in
 memory; the rest waits in a file of the task's own, deleted when the sort ends.
 """
 
