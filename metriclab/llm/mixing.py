@@ -6,15 +6,18 @@ each document expects ``target / source size`` copies; the running sum of those
 expectations plus one random offset is cut at the integers, and a document is
 emitted once for each integer it crosses.
 
-The running sum is made in two levels: inside hash buckets of about
-``bucket_rows`` documents, ordered by size so that every size is drawn at the same
-rate, and then over the buckets' totals.  No task holds a whole source.
+The running sum is made in three levels: inside hash buckets of about ``bucket_rows``
+documents, ordered by size so that every size is drawn at the same rate, over the
+buckets of a stretch, and over stretches.  No task holds a whole source.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .scratch import written
 
 #: Words are runs outside the six ASCII white space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,30 +28,61 @@ def _unit(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
+def _comparable(kind: T.DataType) -> bool:
+    """Whether values of a type can be hashed; maps and variants can't."""
+    if isinstance(kind, T.StructType):
+        return all(_comparable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _comparable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _row_digest(docs: DataFrame) -> list[Column]:
+    """Two independent 64-bit hashes of all columns, so that only rows equal in all of them tie."""
+    parts = [F.col(f"`{f.name}`") if _comparable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in docs.schema]
+    parts += [F.isnull(p) for p in parts]  # a null leaves a hash as it is
+    return [F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)]
+
+
+def _running(rows: DataFrame, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """``rows`` in ranges of one order, with exclusive running sums over all of them.
+
+    Ranges are written, so that one cut holds for the sums inside a range and over the
+    ranges; no window holds more than a range or a row per range.
+    """
+    ranged = rows.repartitionByRange(*order).withColumns({**{f"_{n}": c for n, c in sums.items()}, "_part": F.spark_partition_id()})
+    ranged = written(ranged, name)
+    totals = ranged.groupBy("_part").agg(*[F.sum(f"_{n}").alias(f"_all_{n}") for n in sums])
+    over = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("_part", *[F.coalesce(F.sum(f"_all_{n}").over(over), F.lit(0)).alias(f"_base_{n}") for n in sums])
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    found = ranged.join(totals, "_part")
+    found = found.withColumns({n: F.col(f"_base_{n}") + F.coalesce(F.sum(f"_{n}").over(inside), F.lit(0)) for n in sums})
+    return found.drop("_part", *[f"_{n}" for n in sums], *[f"_base_{n}" for n in sums])
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), budget: float = 1.5, max_repeat: float = 2.0) -> DataFrame:
     """(source, n_docs, source_size, target) from rows of (source, size).
 
     Sources stand by code point, null last, and take ``weights`` in turn.  Ordered
     by limit over weight, those that stop at their limit come first, so one pass of
-    running sums finds the level that the others share.  It has a row per source.
+    running sums finds the level that the others share.  Running sums go over ranges
+    of sources, so sources may be as many as hosts.  No rows give no rows.
     """
     per = sizes.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("size").alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     listed = F.array(*[F.lit(float(w)) for w in weights])
-    per = per.withColumn("weight", F.element_at(listed, (place % len(weights) + 1).cast("int")))
+    per = _running(per, [F.col("source").asc_nulls_last()], {"place": F.lit(1)}, "sources")
+    per = per.withColumn("weight", F.element_at(listed, (F.col("place") % len(weights) + 1).cast("int"))).drop("place")
     per = per.withColumn("most", F.col("source_size") * F.lit(float(max_repeat)))
-    order = Window.orderBy((F.col("most") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
-    per = per.withColumns({
-        "place": F.row_number().over(order),
-        "before": F.coalesce(F.sum("most").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)),
-        "rest": F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)),
-        "whole": F.sum("source_size").over(everything) * F.lit(float(budget)),
-    })
-    per = per.withColumn("level", (F.col("whole") - F.col("before")) / F.col("rest"))
-    per = per.withColumn("free", F.col("most") > F.col("level") * F.col("weight"))
-    shared = F.min(F.when(F.col("free"), F.struct("place", "level"))).over(everything)["level"]
-    target = F.when(F.col("free"), shared * F.col("weight")).otherwise(F.col("most"))
+    order = [(F.col("most") / F.col("weight")).asc(), F.col("source").asc_nulls_last()]
+    # sums of words are exact as decimals, so they don't depend on how sources are dealt
+    exact = "decimal(38,6)"
+    per = _running(per, order, {"place": F.lit(1), "before": F.col("most").cast(exact), "lighter": F.col("weight").cast(exact)}, "levels")
+    whole = per.agg(F.sum("source_size").alias("size"), F.sum(F.col("weight").cast(exact)).alias("weight")).first()
+    level = (F.lit(whole["size"]) * F.lit(float(budget)) - F.col("before").cast("double")) / (F.lit(whole["weight"]) - F.col("lighter")).cast("double")
+    per = per.withColumn("level", level).withColumn("free", F.col("most") > F.col("level") * F.col("weight"))
+    shared = per.filter("free").agg(F.min(F.struct("place", "level"))["level"].alias("level")).first()["level"]
+    target = F.when(F.col("free"), F.lit(shared) * F.col("weight")).otherwise(F.col("most"))
     return per.select("source", "n_docs", "source_size", target.alias("target"))
 
 
@@ -67,17 +101,18 @@ def with_copies(
 
     Size counts words; a null or empty text has 0 and is drawn at its source's rate
     like any other.  A null source is a source of its own.  Repeated rows and equal
-    keys are drawn each; among rows that are equal in size and key it does not
-    matter which is taken.  An empty table gives an empty table.  Columns of
-    ``docs`` that clash with a result column are replaced.  The same rows give the
-    same result for any partitioning.
+    keys are drawn each; rows of equal size and key stand by a digest of all their
+    columns, so it can only be open which of wholly equal rows is taken.  An empty
+    table gives an empty table.  Columns of ``docs`` that clash with a result column
+    are replaced.  The same rows give the same result for any partitioning.
     """
     added = ("size", "source_size", "target", "copies", "taken")
     docs = docs.drop(*added)
     words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size")
     # the columns of docs are packed, so none of their names can clash
-    slim = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words)
-    full = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    slim = written(docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words), "sizes")
+    one, two = _row_digest(docs)
+    full = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words, one.alias("d1"), two.alias("d2"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     per = source_targets(slim.select("source", "size"), weights, budget, max_repeat)
     per = per.select(
         F.col("source").alias("of"), "source_size", "target",
@@ -85,16 +120,22 @@ def with_copies(
         F.ceil(F.col("n_docs") / F.lit(bucket_rows)).alias("buckets"),
         _unit(F.concat(F.lit(f"{seed}/"), F.coalesce("source", F.lit("")))).alias("shift"),
     )
+    per = written(per, "targets")
 
     def bucketed(rows: DataFrame) -> DataFrame:
         drawn = F.conv(F.substring(F.md5(F.coalesce(F.col("k").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
         return rows.join(per, rows["source"].eqNullSafe(per["of"])).withColumn("bucket", drawn % F.col("buckets"))
 
-    totals = bucketed(slim).groupBy("of", "bucket").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("of").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(F.col("of").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("of", "bucket").orderBy("size", "k")
-    ranked = bucketed(full).withColumn("rank", F.row_number().over(inside))
+    # rows before a bucket: a third level of stretches of 1,000 buckets, as one source may have a third of all rows
+    totals = bucketed(slim).groupBy("of", "bucket").agg(F.count("*").alias("n")).withColumn("stretch", F.floor(F.col("bucket") / 1000))
+    totals = written(totals, "buckets")
+    earlier = Window.partitionBy("of").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    bases = totals.groupBy("of", "stretch").agg(F.sum("n").alias("n")).select(F.col("of").alias("o"), F.col("stretch").alias("t"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    within = Window.partitionBy("of", "stretch").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("of", "bucket", "stretch", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("inside"))
+    starts = starts.join(bases, starts["of"].eqNullSafe(bases["o"]) & (starts["stretch"] == bases["t"]))
+    starts = starts.select(F.col("of").alias("s"), F.col("bucket").alias("b"), (F.col("base") + F.col("inside")).alias("start"))
+    ranked = bucketed(full).withColumn("rank", F.row_number().over(Window.partitionBy("of", "bucket").orderBy("size", "k", "d1", "d2")))
     ranked = ranked.join(starts, ranked["of"].eqNullSafe(starts["s"]) & (ranked["bucket"] == starts["b"]))
     through = F.col("start") + F.col("rank")
     crossed = F.floor(through * F.col("rate") + F.col("shift")) - F.floor((through - 1) * F.col("rate") + F.col("shift"))

@@ -250,6 +250,22 @@ def test_mix_draws_near_targets(docs, no_docs):
     mix = mixing.mixed(docs, bucket_rows=7)
     assert mix.columns == docs.columns and mix.count() == sum(r["copies"] for r in rows)
     assert mixing.with_copies(no_docs).count() == 0 and mixing.mixed(no_docs).count() == 0
+    for n in (1, 4, 9):
+        again = mixing.with_copies(docs.repartition(n), bucket_rows=7)
+        assert sorted(map(str, again.collect())) == sorted(map(str, rows))
+
+
+def test_mix_orders_ties_by_the_whole_row(spark):
+    ties = spark.createDataFrame([(1, "a b c", "s", {"n": i}, i // 2) for i in range(9)], "doc_id long, text string, source string, m map<string,int>, extra int")
+    drawn = {n: sorted((r["m"]["n"], r["copies"]) for r in mixing.with_copies(ties.repartition(n)).collect()) for n in (1, 4, 9)}
+    assert drawn[1] == drawn[4] == drawn[9] and sum(c for _, c in drawn[1]) in (13, 14)
+
+
+def test_mix_many_sources(spark):
+    rows = spark.range(600).selectExpr("id AS doc_id", "repeat('w ', cast(1 + id % 17 AS int)) AS text", "CASE WHEN id % 3 > 0 THEN concat('h', id) END AS source")
+    per = mixing.source_targets(rows.selectExpr("source", "1 + doc_id % 17 AS size"))
+    assert per.count() == 401 and per.agg(F.sum("target")).first()[0] == pytest.approx(1.5 * per.agg(F.sum("source_size")).first()[0])
+    assert per.filter("target > 2 * source_size").count() == 0
 
 
 # --- the registered queries and the pipeline --------------------------------------------------------------------
