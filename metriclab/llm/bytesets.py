@@ -112,14 +112,39 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
+#: Places of a word whose byte values are looked up; those of further bytes are computed.
+_LOOKED_UP = 256
+_PLACES: dict[int, np.ndarray] = {}
+
+
+def _place_values(place: np.ndarray, byte: np.ndarray, table: int) -> np.ndarray:
+    """A pseudo-random number for each place and byte."""
+    return mix(((place.astype(np.uint64) << np.uint64(8)) | byte) * _STEP + np.uint64(0x51ED27 * (table + 1)))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: int = 0) -> np.ndarray:
-    """Hashes of the words, made piece by piece so that a long text needs no long tables."""
+    """Hashes of the words, made piece by piece so that a long text needs no long tables.
+
+    A word's hash is the sum of a random number for each of its places and bytes, so no
+    rule in the bytes of two words can make their hashes equal.
+    """
+    if table not in _PLACES:
+        place, byte = np.divmod(np.arange(_LOOKED_UP << 8), 256)
+        _PLACES[table] = _place_values(place, byte.astype(np.uint8), table)
+    values_of = _PLACES[table]
     out = np.empty(len(starts), dtype=np.uint64)
     lo = 0
     while lo < len(starts):
         hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + BLOCK, side="right")))
-        a, b = starts[lo], ends[hi - 1]
-        out[lo:hi] = span_hash(prefix_hash(data[a:b], table), starts[lo:hi] - a, ends[lo:hi] - a)
+        size = ends[lo:hi] - starts[lo:hi]
+        first = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(first, size)
+        byte = data[place + np.repeat(starts[lo:hi], size)]
+        values = values_of[(np.minimum(place, _LOOKED_UP - 1) << 8) | byte]
+        if size.max() > _LOOKED_UP:
+            far = np.flatnonzero(place >= _LOOKED_UP)
+            values[far] = _place_values(place[far], byte[far], table)
+        out[lo:hi] = mix(np.add.reduceat(values, first) + size.astype(np.uint64) * _STEP)
         lo = hi
     return out
 

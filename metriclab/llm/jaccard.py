@@ -36,6 +36,7 @@ from .scratch import dropped, written
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_LOWER_BYTES = _LOWER.tobytes()
 #: Bytes of a place in the global order as it is stored, and the bit that sets frequent shingles behind all rare ones.
 _PLACE_BYTES = 5
 _TOP = np.uint64(1 << (8 * _PLACE_BYTES - 1))
@@ -89,6 +90,30 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
     return out
 
 
+def exact_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """As ``shingle_sets``, with numbers that agree between the texts exactly where the words do.
+
+    Words are numbered by their bytes; sequences are numbered word by word.
+    """
+    numbers: dict[bytes, int] = {}
+    listed = [[numbers.setdefault(w, len(numbers)) for w in t.translate(_LOWER_BYTES).split()] for t in texts]
+    counts = np.array([len(x) for x in listed], dtype=np.int64)
+    ids = np.fromiter((i for x in listed for i in x), dtype=np.int64, count=int(counts.sum()))
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    value = ids.copy()
+    for k in range(1, size):
+        value = value[: max(0, len(ids) - k)] * (len(numbers) + 1) + ids[k:]
+        value = np.unique(value, return_inverse=True)[1].astype(np.int64)  # below 2**31, so the next product is exact
+    whole: dict[tuple[int, ...], int] = {}
+    out = []
+    for a, b, n, own in zip(bounds[:-1], bounds[1:], counts, listed):
+        if n >= size:
+            out.append(np.unique(value[a : b - size + 1]))
+        else:  # such sequences count from -1 down, apart from those of ``size`` words
+            out.append(np.array([-1 - whole.setdefault(tuple(own), len(whole))] if n else [], dtype=np.int64))
+    return out
+
+
 def frequent_shingles(docs: DataFrame, text: str, rules: JaccardJoin) -> np.ndarray:
     """The most frequent shingles, rarest first.  Each stretch of a task counts its own; at most ``frequent`` are kept."""
 
@@ -211,7 +236,10 @@ def _cells(sets: DataFrame, nodes: DataFrame, rules: JaccardJoin) -> DataFrame:
     counts = postings.groupBy("list").agg(F.sum("members").alias("sets"), F.count("*").alias("n_groups")).filter("sets >= 2")
     shared = written(postings.select("list", "gid").join(counts, "list"), "lists")
     couples = shared.filter("n_groups <= 2").groupBy("list").agg(F.min("gid").alias("a"), F.max("gid").alias("b")).select("a", "b").distinct()
-    couples = couples.select(F.xxhash64("a", "b").alias("list"), F.lit(1).alias("cells"), F.explode(F.array_distinct(F.array("a", "b"))).alias("gid"))
+    couples = couples.select(F.xxhash64("a", "b").alias("list"), F.explode(F.array_distinct(F.array("a", "b"))).alias("gid"))
+    couples = couples.join(members, "gid")
+    of_two = couples.groupBy("list").agg(F.ceil(F.sum("members") / rules.cell).cast("int").alias("cells"))
+    couples = couples.join(of_two, "list").select("list", "cells", "gid")
     longer = shared.filter("n_groups > 2").select("list", F.ceil(F.col("sets") / rules.cell).cast("int").alias("cells"), "gid")
     cells = longer.unionByName(couples).join(nodes.select("gid", "set"), "gid")
     return cells.select("list", F.pmod(F.xxhash64("set"), F.col("cells")).cast("int").alias("cell"), "cells", "set")
@@ -313,7 +341,7 @@ def _across(cells: DataFrame, nodes: DataFrame, seen: DataFrame, labels: DataFra
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, text: str, key: str, rules: JaccardJoin) -> DataFrame:
-    """The pairs whose sets are similar, on the shingles of the texts.  ``first`` names a document for each set."""
+    """The pairs whose sets are similar, on the words of the texts.  ``first`` names a document for each set."""
     ends = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
     wanted = first.join(ends, "set").select("set", "_key", "_hash").hint("merge")  # as many rows as sets that have a partner
     rows = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
@@ -323,9 +351,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, text: str, ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                some = batch.slice(lo, 500)
-                left, right = (shingle_sets(*utf8(some.column(c)), rules.shingle) for c in (2, 3))
+            for lo in range(0, batch.num_rows, 50):
+                some = batch.slice(lo, 50)
+                texts = [t.encode() for c in (2, 3) for t in some.column(c).to_pylist()]
+                sets = exact_sets(texts, rules.shingle)
+                left, right = sets[: some.num_rows], sets[some.num_rows :]
                 keep = [rules.similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in zip(left, right)]
                 yield pa.RecordBatch.from_arrays([some.column(c).filter(pa.array(keep)) for c in (0, 1)], names=["a", "b"])
 

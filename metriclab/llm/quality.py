@@ -1,13 +1,14 @@
 """Quality rules from repetition coverage.
 
 Rolling hashes of several n-gram lengths find, inside each text, the n-grams that
-repeat an earlier one; a text is judged by the share of its characters that lie in
+repeat an earlier one; those of three words are compared by their bytes.  A text is judged by the share of its characters that lie in
 such n-grams and in repeated lines, and by its symbols per word.  Each text is judged on its own, so the job is
 one pass over the table without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,6 +57,15 @@ def _twice(keys: np.ndarray, later: bool = False) -> np.ndarray:
     return out
 
 
+def _really_twice(raw: bytes, at: np.ndarray, n: int, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Those of the n-grams at ``at`` whose words stand twice in one text, told by their bytes."""
+    owner = np.searchsorted(bounds, at, side="right").tolist()
+    own = [[raw[a:b] for a, b in zip(starts[at + k].tolist(), ends[at + k].tolist())] for k in range(n)]
+    keys = list(zip(owner, *own))
+    count = Counter(keys)
+    return at[np.fromiter((count[k] > 1 for k in keys), dtype=bool, count=len(keys))]
+
+
 def _covered(at: np.ndarray, n: int, size: int) -> np.ndarray:
     step = np.zeros(size + 1, dtype=np.int64)
     np.add.at(step, at, 1)
@@ -92,7 +102,8 @@ def measure(data: np.ndarray, offsets: np.ndarray, rules: RepetitionRules) -> di
     hashes = word_hashes(data, starts, ends)
     owner = mix(np.repeat(np.arange(n_texts, dtype=np.uint64), n_words))
     grams, at = gram_hashes(hashes, bounds, BASE)
-    at = at[_twice(grams ^ owner[at])]
+    raw = data.tobytes()
+    at = _really_twice(raw, at[_twice(grams ^ owner[at])], BASE, starts, ends, bounds)
     repeat = _covered(at, BASE, len(starts))
     n_repeat = _per_text(repeat, bounds)
 
@@ -116,7 +127,6 @@ def measure(data: np.ndarray, offsets: np.ndarray, rules: RepetitionRules) -> di
         more = share > excess
         worst[more], worst_chars[more], excess[more] = n, inside[more], share[more]
 
-    raw = data.tobytes()
     lines = np.array([_lines(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], dtype=np.int64).reshape(-1, 4)
     base_failed = (n_words < rules.min_words) | (100 * n_repeat > rules.max_repeat_percent * n_words)
     bad_lines = (lines[:, 1] > rules.line_limit * lines[:, 0]) | (lines[:, 3] > rules.line_char_limit * lines[:, 2])
