@@ -66,10 +66,10 @@ def _fetched(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFra
                         at.append(row)
                 if out:
                     own = [some.column(c).take(pa.array(at)) for c in (0, 1)]
-                    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+                    kinds = (pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
                     yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, t) for c, t in zip(zip(*out), kinds))], names=names)
 
-    return rows.mapInArrow(run, f"_key {kind}, _hash long, digest binary, start long, end long, first boolean, body binary")
+    return rows.mapInArrow(run, f"_key {kind}, _hash long, digest binary, start int, end int, first boolean, body binary")
 
 
 def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", chunks: Chunks = Chunks()) -> DataFrame:
@@ -78,13 +78,14 @@ def repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", ch
     Digests only choose what to fetch: a chunk is removed if the earliest one with
     its digest has the same bytes.  Chunks of one digest with other bytes stay.
     """
-    found = written(spans.scanned(docs, key, text, chunks.listed, "digest binary, start long, end long", [pa.binary(), pa.int64(), pa.int64()]), "chunks")
+    found = written(spans.scanned(docs, key, text, chunks.listed, "digest binary, start int, end int", [pa.binary(), pa.int32(), pa.int32()]), "chunks")
     place = F.struct("_key", "_hash", "start")
     earliest = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("earliest")).filter("n > 1").select("digest", "earliest")
     earliest = written(earliest, "firsts")  # both sides of the join are then plain shuffles, whose hot partitions the engine splits
     wanted = found.join(earliest, "digest").withColumn("first", place.eqNullSafe(F.col("earliest"))).drop("earliest")
     body = written(_fetched(docs, wanted, key, text), "chunk-bytes")
     heads = body.filter("first").groupBy("digest").agg(F.first("body").alias("head"))
+    heads = written(heads, "heads")  # as above
     return body.filter("not first").join(heads, "digest").filter(F.col("body") == F.col("head")).select(*spans.ROW, "start", "end")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import bpe, chat, chunks, htmltext, jaccard, mixing, quality, repeats, spans, units, vectors
 
@@ -45,14 +46,16 @@ def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spans.cut_digests(docs, units.repeated_units(docs)).drop("spans")
+    """Runs of whole sentences and lines with 25 words that stood earlier go; ``spans`` lists the removed offsets."""
+    found = units.unit_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    place = lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))
+    return found.withColumn("spans", F.concat_ws(",", F.transform("spans", place)))
 
 
-def op6_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As ``op6_unit_dedup``, with runs of sentences and short lines that have ten words together."""
+def line_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``op6_unit_dedup``, with single lines of ten words as units."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spans.cut_digests(docs, units.repeated_units(docs, units=units.Runs())).drop("spans")
+    return spans.cut_digests(docs, units.repeated_units(docs)).drop("spans")
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_vector_dedup": op5_vector_dedup,
     "op6_unit_dedup": op6_unit_dedup,
-    "op6_run_dedup": op6_run_dedup,
+    "line_unit_dedup": line_unit_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
@@ -95,4 +98,4 @@ r AS (SELECT vec_id AS a, vec_id AS b FROM u UNION SELECT r.a, l.b FROM r JOIN l
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c
 """
-ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_jaccard_join": jaccard.ORACLE}
+ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "line_unit_dedup": units.LINE_ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_jaccard_join": jaccard.ORACLE}

@@ -88,7 +88,8 @@ def _with_spans(docs: DataFrame, spans: DataFrame, key: str, text: str) -> DataF
     else:
         names = list(ROW)
         marked = docs.select(whole, F.col(key).alias("_key"), F.xxhash64(text).alias("_hash"))
-    found = spans.distinct().groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(_SPANS))
+    more = [F.col("first")] if "first" in spans.columns else []
+    found = spans.distinct().groupBy(*names).agg(F.array_sort(F.collect_list(F.struct(*[F.col(c).cast("long").alias(c) for c in ("start", "end")], *more))).alias(_SPANS))
     first, second = names
     same = marked[first].eqNullSafe(found[first]) & (marked[second] == found[second])
     return marked.join(found, same, "left").select("_doc.*", _SPANS)
@@ -120,7 +121,12 @@ def cut(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "tex
 
 
 def cut_digests(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_bytes, n_removed, n_spans, kept_sha256, spans): what cutting leaves of each row of ``docs``."""
+    """(key, n_bytes, n_removed, n_spans, kept_sha256, spans): what cutting leaves of each row of ``docs``.
+
+    Where ``spans`` have a column ``first``, those it marks stay, and a column n_shared
+    counts the bytes of all of them.
+    """
+    more = "first" in spans.columns
     kind = docs.schema[key].dataType.simpleString()
     pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
@@ -130,17 +136,19 @@ def cut_digests(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: st
             raw, out = memoryview(data), []
             for row, spans in enumerate(batch.column(2).to_pylist()):
                 whole = raw[offsets[row] : offsets[row + 1]]
-                runs = merged([(s["start"], s["end"]) for s in spans or ()])
+                runs = merged([(s["start"], s["end"]) for s in spans or () if not (more and s["first"])])
+                shared = sum(e - s for s, e in merged([(s["start"], s["end"]) for s in spans or ()])) if more else 0
                 kept, last = hashlib.sha256(), 0
                 for start, end in runs:
                     kept.update(whole[last:start])
                     last = end
                 kept.update(whole[last:])
-                out.append((len(whole), sum(e - s for s, e in runs), len(runs), kept.hexdigest(), [{"start": s, "end": e} for s, e in runs]))
+                out.append((len(whole), sum(e - s for s, e in runs), len(runs), kept.hexdigest(), [{"start": s, "end": e} for s, e in runs], shared))
             if out:
-                n, removed, count, digest, where = zip(*out)
-                arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in (n, removed, count)), pa.array(digest), pa.array(where, pairs)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+                n, removed, count, digest, where, shared = zip(*out)
+                arrays = [batch.column(0), *(pa.array(c, pa.int64()) for c in (n, removed, count)), pa.array(digest), pa.array(where, pairs), pa.array(shared, pa.int64())]
+                names = [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "n_shared"]
+                yield pa.RecordBatch.from_arrays(arrays[: 6 + more], names=names[: 6 + more])
 
     rows = _with_spans(docs.select(key, text), spans, key, text)
-    return rows.mapInArrow(run, f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")
+    return rows.mapInArrow(run, f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>" + ", n_shared long" * more)
