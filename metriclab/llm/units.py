@@ -37,7 +37,7 @@ class Units:
         for m in _ENDS[self.kind].finditer(text):
             words = text[at : m.start()].translate(_LOWER).split()
             if len(words) >= self.min_words:
-                digests.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
+                digests.append(hashlib.blake2b(b" ".join(words), digest_size=12).digest())
                 starts.append(at)
                 ends.append(m.end())
             at = m.end()
@@ -62,7 +62,7 @@ class Runs(Units):
             pieces.append(text[places[-1] : m.end()].translate(_LOWER).split())
             places.append(m.end())
         found = smallest([len(p) for p in pieces], 1, self.min_words)
-        digests = [hashlib.blake2b(b" ".join(w for p in pieces[a : b + 1] for w in p), digest_size=16).digest() for a, b in found]
+        digests = [hashlib.blake2b(b" ".join(w for p in pieces[a : b + 1] for w in p), digest_size=12).digest() for a, b in found]
         return [digests, [places[a] for a, _ in found], [places[b + 1] for _, b in found]]
 
 
