@@ -3,16 +3,19 @@
 Every piece of text has a path of tags from the root.  Text length, punctuation and
 link text are summed per path; the ratios of text and of punctuation to the path's
 pieces are fused, smoothed along the page, and paths over the threshold hold the
-content.  Everything that the innermost container of those pieces holds on a path
-with few links is content too, so that titles and short paragraphs stay.
+content.  Framing elements and names only lower a path's ratio, and not at all on an
+element that holds most of the page's text.  What the container of the content holds
+beside it belongs to it too, so that titles and short paragraphs stay, but for paths
+that are marked as frames and below the threshold, and for lists of links.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -25,18 +28,21 @@ RAW = ("script", "style", "noscript", "template", "iframe", "svg", "textarea", "
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not end a block.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-#: Elements that frame the content.
-BOILERPLATE = frozenset("nav header footer aside form menu dialog button head".split())
+#: Elements that frame the content; a header inside an article doesn't.
+BOILERPLATE = frozenset("nav header footer aside form menu dialog button".split())
+#: Headings.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a new block of the same sort closes.
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-#: Words in a class, id or role that name what frames the content.
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|side-?bar\w*|footer\w*|foot|header|masthead|cookie\w*|consent|notice\w*|popup|modal|overlay|"
-    r"newsletter|subscri\w*|share|sharing|social\w*|comments?|comment-?list|respond|replies|disqus\w*|related\w*|recommend\w*|widget\w*|toolbar|pagination|pager|skip|search\w*|login|signup|"
-    r"navigation|complementary|contentinfo|search|alert|alertdialog|hidden|disclaimer|copyright|tags|meta)(?=$|[\s_-])",
+#: Words in a class, id or role that name what is no part of an article, wherever it stands.
+APART = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|breadcrumb\w*|side-?bar\w*|cookie\w*|consent|notice\w*|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social\w*|"
+    r"comments?|comment-?list|respond|replies|disqus\w*|toolbar|pagination|pager|login|signup|navbar|menu|navigation|complementary|contentinfo|alert|alertdialog)(?=$|[\s_-])",
     re.I,
 )
+#: Words that name a frame where no container sets the article apart.
+AROUND = re.compile(r"(?:^|[\s_-])(?:nav\w*|menu\w*|footer\w*|foot|header|masthead|related\w*|recommend\w*|widget\w*|skip|search\w*|copyright|disclaimer|tags|meta)(?=$|[\s_-])", re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 #: A comment, a declaration, or the beginning of a tag.
@@ -50,28 +56,49 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 @dataclass(frozen=True)
 class PathRatios:
-    """``spread`` nodes on each side are smoothed; ``cut`` is the share of the page's mean ratio that content needs."""
+    """``spread`` nodes on each side are smoothed; ``cut`` is the share of the page's mean ratio that content needs.
+
+    A path with a mark has ``marked`` of its ratio.  A container is entered while it holds
+    ``holds`` of the content's text, or half of it where it says that it is the article.
+    """
 
     spread: int = 2
     cut: float = 0.5
     most_links: float = 0.5
+    marked: float = 0.25
+    holds: float = 0.9
+
+
+#: What an element says of itself.
+PLAIN, WEAK, STRONG, FRAME = 0, 1, 2, 3
 
 
 @dataclass
 class _Piece:
     text: str
-    path: tuple[str, ...]
-    holders: tuple[int, ...]
+    path: int
+    holder: int
     block: int
     linked: bool
-    noise: bool
-    main: bool
+
+
+@dataclass
+class _Page:
+    """Pieces in order; elements by number with parent, mark and whether they are an article; paths by number with their last tag."""
+
+    pieces: list[_Piece] = field(default_factory=list)
+    parent: list[int] = field(default_factory=lambda: [0])
+    mark: list[int] = field(default_factory=lambda: [PLAIN])
+    main: list[bool] = field(default_factory=lambda: [False])
+    last_tag: list[str] = field(default_factory=lambda: [""])
 
 
 @lru_cache(maxsize=4096)
-def _names_noise(attributes: str) -> bool:
+def _named(attributes: str) -> int:
     names = " ".join(a or b or c for a, b, c in NAMES.findall(attributes))
-    return bool(names and NOISE.search(names)) or bool(HIDDEN.search(attributes))
+    if names and APART.search(names) or HIDDEN.search(attributes):
+        return STRONG
+    return WEAK if names and AROUND.search(names) else PLAIN
 
 
 def _tag_end(page: str, at: int, lost: set[int]) -> tuple[int, str]:
@@ -96,26 +123,31 @@ def _tag_end(page: str, at: int, lost: set[int]) -> tuple[int, str]:
     return -1, ""
 
 
-def pieces(page: str) -> list[_Piece]:
-    """Text nodes of a page in order, with their paths; tolerant of missing end tags."""
-    out: list[_Piece] = []
-    stack: list[tuple[str, str, int, bool, bool]] = []  # tag, step of the path, number, noise, main
-    block = number = at = 0
+def pieces(page: str) -> _Page:
+    """Text nodes of a page in order, with their paths; tolerant of missing end tags and linear in the tags."""
+    out = _Page()
+    stack: list[tuple[str, int, int, bool]] = []  # tag, path, number of the element, inside an article
+    solid: list[int] = []  # places in the stack of what isn't inline
+    open_tags: Counter[str] = Counter()
+    paths: dict[tuple[int, str], int] = {}
+    block = at = 0
     lost: set[int] = set()
 
     def add(text: str) -> None:
         if not text or text.isspace():
-            if text and out and out[-1].block == block:
-                out[-1].text += " "
+            if text and out.pieces and out.pieces[-1].block == block:
+                out.pieces[-1].text += " "
             return
-        top = stack[-1] if stack else ("", "", 0, False, False)
-        steps = [s for s in stack if s[0] not in INLINE]
-        out.append(_Piece(text, tuple(s[1] for s in steps), tuple(s[2] for s in steps), block, any(s[0] == "a" for s in stack), top[3], top[4]))
+        top = stack[solid[-1]] if solid else ("", 0, 0, False)
+        out.pieces.append(_Piece(text, top[1], top[2], block, open_tags["a"] > 0))
 
     def close(depth: int) -> None:
         nonlocal block
-        if any(s[0] not in INLINE for s in stack[depth:]):
+        if solid and solid[-1] >= depth:
             block += 1
+        while solid and solid[-1] >= depth:
+            solid.pop()
+        open_tags.subtract(s[0] for s in stack[depth:])
         del stack[depth:]
 
     size = len(page)
@@ -136,9 +168,8 @@ def pieces(page: str) -> list[_Piece]:
             attributes = page[m.end() : at - 1]
         empty = page[at - 2] == "/"
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if depth >= 0:
-                close(depth)
+            if open_tags[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
             elif tag == "p":
                 block += 1
             continue
@@ -149,52 +180,112 @@ def pieces(page: str) -> list[_Piece]:
             end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>?", re.I).search(page, at)
             at = end.end() if end else size
             continue
-        if tag in CLOSES_P or tag in SAME:
-            shut, fence = SAME.get(tag, ({"p"}, set()))
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in shut or (tag in CLOSES_P and stack[i][0] == "p"):
+        if tag in CLOSES_P and solid and stack[solid[-1]][0] == "p":
+            close(solid[-1])
+        if tag in SAME and any(open_tags[t] > 0 for t in SAME[tag][0]):
+            shut, fence = SAME[tag]
+            for i in reversed(solid):
+                if stack[i][0] in shut:
                     close(i)
-                elif stack[i][0] not in INLINE and (tag in CLOSES_P or stack[i][0] in fence):
+                elif stack[i][0] in fence:
                     break
         if tag not in INLINE:
             block += 1
         if tag in VOID or empty and tag in INLINE:
             continue
-        above = stack[-1] if stack else ("", "", 0, False, False)
-        main = above[4] or tag in ("article", "main") or "role" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
-        noise = above[3] or (tag in BOILERPLATE and not (tag == "header" and above[4])) or (bool(attributes) and tag not in ("html", "body", "article", "main") and _names_noise(attributes))
-        number += 1
+        above = stack[-1] if stack else ("", 0, 0, False)
+        open_tags[tag] += 1
+        if tag in INLINE:
+            stack.append((tag, *above[1:]))
+            continue
         first = next((a or b or c for a, b, c in NAMES.findall(attributes)), "") if "=" in attributes else ""
-        stack.append((tag, f"{tag}.{first.split()[0]}" if first.split() else tag, number, noise, main))
+        step = f"{tag}.{first.split()[0]}" if first.split() else tag
+        path = paths.setdefault((above[1], step), len(paths) + 1)
+        if path == len(out.last_tag):
+            out.last_tag.append(tag)
+        main = tag in ("article", "main") or "role" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
+        mark = _named(attributes) if attributes and tag not in ("html", "body", "main") else PLAIN
+        if tag in BOILERPLATE and not (tag == "header" and above[3]):
+            mark = STRONG if tag in ("form", "header") else FRAME
+        out.parent.append(above[2])
+        out.mark.append(mark)
+        out.main.append(main)
+        solid.append(len(stack))
+        stack.append((tag, path, len(out.parent) - 1, above[3] or main))
     return out
 
 
-def content(found: list[_Piece], rules: PathRatios) -> list[_Piece]:
+def _summed(values: np.ndarray, parent: list[int]) -> np.ndarray:
+    """Values of elements with those of all elements inside them."""
+    total = values.tolist()
+    for i in range(len(total) - 1, 0, -1):
+        total[parent[i]] += total[i]
+    return np.array(total)
+
+
+def content(page: _Page, rules: PathRatios) -> list[_Piece]:
     """The pieces that hold the main text."""
-    found = [p for p in found if not p.noise]
-    if any(p.main for p in found):
-        found = [p for p in found if p.main]
+    found, n_paths, n_held = page.pieces, len(page.last_tag), len(page.parent)
     if not found:
         return []
-    paths: dict[tuple[str, ...], int] = {}
-    path = np.array([paths.setdefault(p.path, len(paths)) for p in found])
+    path, held = (np.array([getattr(p, c) for p in found]) for c in ("path", "holder"))
     length = np.array([len(p.text.strip()) for p in found], dtype=float)
     marks = np.array([len(PUNCTUATION.findall(p.text)) for p in found], dtype=float)
     linked = np.array([p.linked for p in found])
-    n = np.bincount(path)
-    text_ratio, mark_ratio = np.bincount(path, length) / n, np.bincount(path, marks) / n
-    links = np.bincount(path, length * linked) / np.maximum(np.bincount(path, length), 1)
-    fused = np.sqrt(text_ratio * (1 + mark_ratio)) * (1 - links)
+    # what holds most of the text with the article, or nearly all of it, is no frame, whatever it is called
+    share = _summed(np.bincount(held, length * ~linked, n_held), page.parent)
+    mains = _summed(np.array(page.main, dtype=int), page.parent)
+    mark = np.array(page.mark)
+    within = np.array(page.main)
+    for i in range(1, n_held):
+        within[i] |= within[page.parent[i]]
+    whole = (within | (mains[0] == 0)) & (mark != FRAME)
+    mark[(share > 0.5 * share[0]) & (mains > 0) | (share > 0.8 * share[0]) & whole] = PLAIN
+    for i in range(1, n_held):
+        mark[i] = max(mark[i], mark[page.parent[i]])
+    mark = mark[held]
+
+    n = np.bincount(path, minlength=n_paths)
+    per = lambda x: np.bincount(path, x, n_paths) / np.maximum(n, 1)
+    links = np.bincount(path, length * linked, n_paths) / np.maximum(np.bincount(path, length, n_paths), 1)
+    fused = np.sqrt(per(length) * (1 + per(marks))) * (1 - links)
+    own = fused[path] * np.where(mark >= STRONG, rules.marked, 1)
     kernel = np.exp(-0.5 * (np.arange(-rules.spread, rules.spread + 1) / max(rules.spread / 2, 0.5)) ** 2)
-    own = fused[path]
     smooth = np.convolve(own, kernel / kernel.sum(), mode="same") if len(own) >= len(kernel) else own
-    score = np.bincount(path, (own + smooth) / 2) / n
-    chosen = score >= rules.cut * np.average(score, weights=n)
-    picked = [p for p, k in zip(found, path) if chosen[k] and links[k] <= rules.most_links] or found
-    shared = picked[0].holders[:-1]  # the block itself is no container
-    for p in picked[1:]:
-        shared = shared[: next((i for i, (a, b) in enumerate(zip(shared, p.holders[:-1])) if a != b), min(len(shared), len(p.holders) - 1))]
-    return [p for p, k in zip(found, path) if p.holders[: len(shared)] == shared and links[k] <= rules.most_links]
+    score = per((own + smooth) / 2)
+    cut = rules.cut * np.average(score, weights=n)
+    high = score[path] >= cut
+    list_like = (links > rules.most_links)[path] & np.array([page.last_tag[k] not in HEADINGS for k in path])
+    picked = high & ~list_like & (mark < STRONG)
+    if not picked.any():
+        picked = ~list_like & (mark < STRONG)
+    if not picked.any():
+        return []
+
+    text = _summed(np.bincount(held[picked], length[picked], n_held), page.parent)
+    blocks = [set() for _ in range(n_held)]
+    for k in np.flatnonzero(picked):
+        blocks[held[k]].add(found[k].block)
+    children: dict[int, int] = {}  # the child with most text of each element
+    for i in range(1, n_held):
+        if text[i] > text[children.get(page.parent[i], 0)] or page.parent[i] not in children:
+            children[page.parent[i]] = i
+    inner, apart = 0, False
+    while (child := children.get(inner)) is not None:
+        enough = 0.5 if page.main[child] else rules.holds
+        if text[child] < enough * text[inner] or not (text[children.get(child, child)] > 0 and child in children or len(blocks[child]) > 1 or page.main[child]):
+            break
+        inner = child
+        apart = apart or page.main[child] or share[child] < 0.98 * share[0]
+    inside = np.zeros(n_held, dtype=bool)
+    inside[inner] = True
+    for i in range(inner + 1, n_held):
+        inside[i] = inside[page.parent[i]]
+    frame = mark >= STRONG
+    if not apart:
+        frame |= (mark == WEAK) & ~high
+    keep = inside[held] & ~list_like & ~frame
+    return [p for p, k in zip(found, keep) if k]
 
 
 def main_text(page: str, rules: PathRatios = PathRatios()) -> str:
