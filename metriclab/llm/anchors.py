@@ -8,11 +8,12 @@ and a hash that occurs once needs no further look.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 
-from .bytesets import mix, prefix_hash, span_hash, window_hash
+from .bytesets import mix, prefix_hash, window_hash
 
 #: Bytes of a text that are looked at together; longer texts are cut with overlap.
 PART = 1 << 20
@@ -35,7 +36,7 @@ class Anchors:
         return out
 
     def found(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Anchors of the parts that ``ends`` cuts ``data`` into: hash, place, start and end of the context, hash of the context.
+        """Anchors of the parts that ``ends`` cuts ``data`` into: hash, place, start and end of the context, digest of the context.
 
         The context of an anchor holds every string of the part that has it.
         """
@@ -63,5 +64,7 @@ class Anchors:
         begin = np.concatenate([[0], ends[:-1]])[np.searchsorted(ends, place, side="right")]
         lo = np.maximum(place - (self.length - k), begin)
         hi = np.minimum(place + self.length, limit[place])
-        context = span_hash(prefix_hash(data, 1), lo, hi) ^ mix((place - lo).astype(np.uint64) + np.uint64(5))
+        raw, digest = memoryview(data), hashlib.blake2b
+        digests = b"".join([digest(raw[a:b], digest_size=8).digest() for a, b in zip(lo.tolist(), hi.tolist())])
+        context = np.frombuffer(digests, dtype=np.uint64) ^ mix((place - lo).astype(np.uint64) + np.uint64(5))
         return hashes[place], place, lo, hi, context

@@ -21,6 +21,8 @@ from .bytesets import prefix_hash, span_hash
 #: Symbols of a shard: end of the text, end of a body, and bytes from here on.
 END, STOP, FIRST = 0, 1, 2
 SYMBOLS = 258
+#: Pairs of strings that are compared at once.
+COMPARED = 1 << 14
 
 
 class BucketQueue:
@@ -202,12 +204,15 @@ def repeated_starts(bodies: list[bytes], owners: np.ndarray, offsets: np.ndarray
     order, body, within = order[fits], body[fits], within[fits]
     if len(order) < 2:
         return [np.zeros(0, np.int64)] * len(bodies)
-    # neighbours share a prefix of this length if two independent hashes of it agree
+    # neighbours that agree in a hash of this length are compared byte by byte
     raw = np.frombuffer(b"\0".join(bodies), dtype=np.uint8)
-    shared = np.ones(len(order) - 1, dtype=bool)
-    for table in (0, 1):
-        hashes = span_hash(prefix_hash(raw, table), order, order + length)
-        shared &= hashes[1:] == hashes[:-1]
+    hashes = span_hash(prefix_hash(raw), order, order + length)
+    shared = hashes[1:] == hashes[:-1]
+    strings = np.lib.stride_tricks.sliding_window_view(raw, length)
+    alike = np.flatnonzero(shared)
+    for lo in range(0, len(alike), COMPARED):
+        some = alike[lo : lo + COMPARED]
+        shared[some] = (strings[order[some]] == strings[order[some + 1]]).all(axis=1)
     opens = np.concatenate([[True], ~shared])
     run, first = np.cumsum(opens) - 1, np.flatnonzero(opens)
     owner, place = owners[body], offsets[body] + within
