@@ -1,17 +1,22 @@
 """Statistics that every operator shares, in forms that distribute.
 
 Wide tables are scored in long form: a row per observation and column, grouped by the
-column's name.  Ranks are made in value buckets with running totals over the buckets,
-so one column's rank never needs one task to hold the column.
+column's name.  Ranks and exact quantiles come from counted values: values are dealt in
+ranges and running totals go over the ranges, so no task holds a column, and a value that
+most rows have is one row.  What is read more than once is written once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import once
+
 
 def melted(df: DataFrame, columns: Sequence[str], keep: Sequence[str | Column] = (), name: str = "column_name", value: str = "v") -> DataFrame:
     """(keep..., name, value DOUBLE): one row per row and column, without a shuffle."""
@@ -26,31 +31,88 @@ def guarded_corr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
 
-def quantile(value: str, q: float, exact: bool = True) -> Column:
-    """Interpolated quantile; the approximate one keeps a sketch of fixed size for any number of rows."""
-    return F.percentile(value, F.lit(q)) if exact else F.percentile_approx(value, F.lit(q), F.lit(10_000))
+def counted(df: DataFrame, keys: Sequence[str], value: str, n: Column | None = None) -> DataFrame:
+    """(keys, value, _n): rows of each value that isn't missing; ``n`` is what a row counts, else 1."""
+    return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg((F.count("*") if n is None else F.sum(n)).alias("_n"))
 
 
-def average_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank", buckets: int = 32) -> DataFrame:
-    """``df`` (rows with a value) with average ranks within ``keys``: ties share the mean of their ranks.
+def placed(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``counts`` with ``_before``, the rows of smaller values of the key, and ``_all``, those of the key.
 
-    Approximate quantiles of each key cut its values into buckets; a row's rank is the
-    rows in lower buckets plus its rank inside the bucket.  Equal values share a bucket.
+    Values lie in ranges; the table is written with its ranges, so that one cut holds for
+    the sums inside a range and over the ranges.
     """
     keys = list(keys)
-    df = df.filter(F.col(value).isNotNull())
-    if buckets > 1:
-        steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-        cuts = df.groupBy(*keys).agg(F.array_distinct(F.percentile_approx(value, steps, F.lit(1000))).alias("_cuts"))
-        df = df.join(cuts, keys).withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    ranged = once(counts.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id()), "values")
+    totals = ranged.groupBy(*keys, "_part").agg(F.sum("_n").alias("_own"))
+    over = Window.partitionBy(*keys)
+    totals = totals.withColumns({"_base": F.coalesce(F.sum("_own").over(over.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_all": F.sum("_own").over(over)})
+    inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(totals, [*keys, "_part"])
+    return rows.select(*keys, value, "_n", (F.col("_base") + F.col("_in")).alias("_before"), "_all")
+
+
+#: Share of the rows by which a sketch of 10,000 samples may miss a rank, doubled.
+MISS = 2e-4
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, float], exact: bool = True, least_values: int = 0) -> DataFrame:
+    """(keys, n, least, most, ...): rows, ends and the wanted interpolated quantiles of each key.
+
+    A sketch of fixed size tells in one pass between which values each quantile lies; a
+    second pass counts what is below and ranks only the values between, so no shuffle is
+    as large as the table.  Where a sketch should miss, the key's values are all ranked.
+    Without ``exact`` the sketch decides.  Keys with fewer different values than
+    ``least_values`` are left out.  ``df`` is read several times; write it first if it is costly.
+    """
+    keys, names = list(keys), list(wanted)
+    df = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    ends = [F.count("*").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most")]
+    if not exact:
+        found = df.groupBy(*keys).agg(*ends, *[F.percentile_approx("_v", F.lit(q), F.lit(10_000)).alias(c) for c, q in wanted.items()])
     else:
-        df = df.withColumn("_bucket", F.lit(0))
-    sizes = df.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    below = sizes.withColumn("_below", F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    inside = Window.partitionBy(*keys, "_bucket")
-    ranked = df.withColumn("_rank", F.rank().over(inside.orderBy(value))).withColumn("_ties", F.count("*").over(Window.partitionBy(*keys, "_bucket", value)))
-    ranked = ranked.join(below, [*keys, "_bucket"])
-    return ranked.withColumn(out, F.col("_below") + F.col("_rank") + (F.col("_ties") - 1) / 2.0).drop("_bucket", "_below", "_rank", "_ties")
+        steps = [min(1.0, max(0.0, q + d)) for q in wanted.values() for d in (-MISS, MISS)]
+        stats = once(df.groupBy(*keys).agg(*ends, F.percentile_approx("_v", F.array(*map(F.lit, steps)), F.lit(10_000)).alias("_cuts")), "sketches")
+        low = lambda i: F.when(F.lit(steps[2 * i] <= 0), F.col("least")).otherwise(F.col("_cuts")[2 * i])
+        high = lambda i: F.when(F.lit(steps[2 * i + 1] >= 1), F.col("most")).otherwise(F.col("_cuts")[2 * i + 1])
+        rows = df.join(F.broadcast(stats.drop("n")), keys)  # a row per column or candidate
+        below = rows.groupBy(*keys).agg(*[F.count_if(F.col("_v") < low(i)).alias(f"_under{i}") for i in range(len(names))])
+        inside = [F.col("_v").between(low(i), high(i)) for i in range(len(names))]
+        picked = F.explode(F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(inside)]))).alias("_k")
+        between = placed(counted(rows.filter(reduce(or_, inside)).select(*keys, "_v", picked), [*keys, "_k"], "_v"), [*keys, "_k"], "_v")
+        found = once(stats.drop("_cuts").join(F.broadcast(below), keys), "below")
+        found = once(found.join(_reached(between.join(F.broadcast(found), keys), keys, wanted), keys, "left"), "quantiles")
+        missed = found.filter(reduce(or_, [F.col(f"_high_{c}").isNull() | ~F.col(f"_from_{c}") for c in names])).select(*keys)
+        if not missed.isEmpty():
+            again = placed(counted(df.join(missed, keys), keys, "_v"), keys, "_v").withColumn("_k", F.explode(F.array(*[F.lit(i) for i in range(len(names))])))
+            known = stats.drop("_cuts").withColumns({f"_under{i}": F.lit(0) for i in range(len(names))})
+            found = found.join(missed, keys, "left_anti").unionByName(known.join(_reached(again.join(F.broadcast(known), keys), keys, wanted), keys))
+        part = lambda q: (F.col("n") - 1) * F.lit(float(q)) - F.floor((F.col("n") - 1) * F.lit(float(q)))
+        found = found.select(*keys, "n", "least", "most", *[(F.col(f"_low_{c}") + (F.col(f"_high_{c}") - F.col(f"_low_{c}")) * part(q)).alias(c) for c, q in wanted.items()])
+    if least_values:
+        rough = once(df.groupBy(*keys).agg(F.approx_count_distinct("_v").alias("_d")), "distinct")
+        few = df.join(F.broadcast(rough.filter(F.col("_d") <= 10 * least_values)), keys).groupBy(*keys).agg(F.count_distinct("_v").alias("_d")).filter(F.col("_d") < least_values)
+        found = found.join(F.broadcast(few), keys, "left_anti")
+    return found
+
+
+def _reached(rows: DataFrame, keys: list[str], wanted: dict[str, float]) -> DataFrame:
+    """(keys, _low_*, _high_*, _from_*): the values at the ranks around each quantile, and whether ``rows`` begin at or below the lower one."""
+    out = []
+    for i, (c, q) in enumerate(wanted.items()):
+        at, own, start = (F.col("n") - 1) * F.lit(float(q)), F.col("_k") == i, F.col(f"_under{i}") + F.col("_before")
+        value = lambda place, own=own, start=start: F.min(F.when(own & (start + F.col("_n") > place), F.col("_v")))
+        out += [value(F.floor(at)).alias(f"_low_{c}"), value(F.ceil(at)).alias(f"_high_{c}"), F.coalesce(F.min(F.when(own, start)) <= F.min(F.floor(at)), F.lit(False)).alias(f"_from_{c}")]
+    return rows.groupBy(*keys).agg(*out)
+
+
+def average_ranks(df: DataFrame, keys: Sequence[str], value: str, out: str = "rank") -> DataFrame:
+    """``df`` (rows with a value) with average ranks within ``keys``: ties share the mean of their ranks."""
+    keys = list(keys)
+    df = once(df.filter(F.col(value).isNotNull()), "ranked")
+    ranks = placed(counted(df, keys, value), keys, value)
+    ranks = ranks.select(*keys, value, (F.col("_before") + (F.col("_n") + 1) / 2.0).alias(out))
+    return df.join(ranks, [*keys, value])
 
 
 def rank_pct(value: str, partition: Sequence[str] = ()) -> Column:
@@ -61,8 +123,74 @@ def rank_pct(value: str, partition: Sequence[str] = ()) -> Column:
     return F.when(F.col(value).isNotNull(), pct)
 
 
-def spearman(pairs: DataFrame, keys: Sequence[str], a: str = "a", b: str = "b", buckets: int = 32) -> DataFrame:
-    """(keys, rho): rank correlation of the rows of each key where both sides are present; NULL if undefined."""
-    both = pairs.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*keys, a, b)
-    ranked = average_ranks(average_ranks(both, keys, a, "_ra", buckets), keys, b, "_rb", buckets)
-    return ranked.groupBy(*keys).agg(guarded_corr("_ra", "_rb").alias("rho"))
+def spearman(pairs: DataFrame, keys: Sequence[str], a: str = "a", b: str = "b") -> DataFrame:
+    """(keys, rho): rank correlation of the rows of each key where both sides are present; NULL if undefined.
+
+    The rows are counted by both values in one pass; all else reads those counts.  Ranks
+    are taken from their mean, so a constant gives exact zeros.
+    """
+    keys = list(keys)
+    both = pairs.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    both = once(both.groupBy(*keys, F.col(a).alias("_a"), F.col(b).alias("_b")).agg(F.count("*").alias("_rows")), "pairs")
+
+    def centred(side: str) -> DataFrame:
+        ranks = placed(counted(both, keys, side, F.col("_rows")), keys, side)
+        return ranks.select(*keys, side, (F.col("_before") + (F.col("_n") + 1) / 2.0 - (F.col("_all") + 1) / 2.0).alias(f"_r{side}"))
+
+    rows = both.join(centred("_a"), [*keys, "_a"]).join(centred("_b"), [*keys, "_b"])
+    x, y, n = F.col("_r_a"), F.col("_r_b"), F.col("_rows")
+    sums = rows.groupBy(*keys).agg(F.sum(n * x * y).alias("_xy"), F.sum(n * x * x).alias("_xx"), F.sum(n * y * y).alias("_yy"))
+    return sums.select(*keys, F.try_divide("_xy", F.sqrt("_xx") * F.sqrt("_yy")).alias("rho"))
+
+
+def rank_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], at_once: int = 12) -> DataFrame:
+    """(a, b, rho): rank correlation of column pairs over the rows that have both; NULL if undefined.
+
+    Columns without missing values are ranked once each, on their counted values, and
+    correlated in a matrix of at most ``at_once`` columns; other pairs are ranked pair by pair.
+    """
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    plain = once(df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(names)]), "wide")
+    number = {c: f"c{i}" for i, c in enumerate(names)}
+    missing = plain.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in plain.columns]).first()
+    whole = [c for c in plain.columns if not missing[c]]
+    easy = [p for p in pairs if number[p[0]] in whole and number[p[1]] in whole]
+    found: list[tuple[str, str, float]] = []
+    if easy:
+        counts = placed(counted(melted(plain, whole), ["column_name"], "v"), ["column_name"], "v")
+        ranks = once(counts.select("column_name", "v", (F.col("_before") + (F.col("_n") + 1) / 2.0 - (F.col("_all") + 1) / 2.0).alias("r")), "ranks")
+        some: list[tuple[str, str]] = []
+        for pair in [*easy, None]:
+            if pair is None or len({c for p in [*some, pair] for c in p}) > at_once:
+                used = sorted({number[c] for p in some for c in p})
+                rows = plain.select(*used)
+                for c in used:
+                    rows = rows.join(ranks.filter(F.col("column_name") == c).select(F.col("v").alias(c), F.col("r").alias(f"r{c}")), c)
+                of = {(a, b): r for x, y, r in correlation_matrix(rows.select(*[f"r{c}" for c in used]), [f"r{c}" for c in used]) for a, b in ((x[1:], y[1:]), (y[1:], x[1:]))}
+                found += [(a, b, of.get((number[a], number[b]))) for a, b in some]
+                some = []
+            if pair is not None:
+                some.append(pair)
+    hard = [p for p in pairs if p not in set(easy)]
+    out = df.sparkSession.createDataFrame(found, "a string, b string, rho double")
+    if hard:
+        items = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(number[a]).alias("x"), F.col(number[b]).alias("y")) for a, b in hard])
+        listed = df.sparkSession.createDataFrame(hard, "a string, b string")
+        out = out.unionByName(listed.join(spearman(plain.select(F.explode(items).alias("p")).select("p.*"), ["a", "b"], "x", "y"), ["a", "b"], "left"))
+    return out
+
+
+def correlation_matrix(wide: DataFrame, names: list[str]) -> list[tuple[str, str, float]]:
+    """(a, b, correlation) of all pairs in one pass over a complete wide table; pairs with a constant are left out.
+
+    The driver gets a number per pair of candidates, whatever the number of rows.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    if len(names) < 2:
+        return []
+    plain = wide.select(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(names)])
+    vectors = VectorAssembler(inputCols=plain.columns, outputCol="x").transform(plain).select("x")
+    matrix = Correlation.corr(vectors, "x").first()[0].toArray()
+    return [(names[i], names[j], float(matrix[i, j])) for i in range(len(names)) for j in range(i + 1, len(names)) if matrix[i, j] == matrix[i, j]]

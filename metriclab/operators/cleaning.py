@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import melted, quantile
+from ..functions.scratch import once
+from ..functions.stats import melted, quantiles
 from ..settings import Thresholds
 
 #: Texts that mean missing.
@@ -85,8 +86,8 @@ def zero_heavy(df: DataFrame, columns: Sequence[str] | None = None, limits: Thre
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, limits: Thresholds = Thresholds(), exact: bool = True) -> DataFrame:
     """Counts and bounds of columns with values far outside their quartiles; a row per column that has any."""
-    long = melted(df, columns or numeric_columns(df)).filter("v is not null")
-    stats = long.groupBy("column_name").agg(F.count("*").alias("n"), quantile("v", 0.25, exact).alias("q1"), quantile("v", 0.75, exact).alias("q3"), F.min("v").alias("min_value"), F.max("v").alias("max_value"))
+    long = once(melted(df, columns or numeric_columns(df)).filter("v is not null"), "long")
+    stats = quantiles(long, ["column_name"], "v", {"q1": 0.25, "q3": 0.75}, exact).withColumnsRenamed({"least": "min_value", "most": "max_value"})
     spread = F.col("q3") - F.col("q1")
     stats = stats.filter((F.col("n") >= limits.outlier_min_rows) & (spread != 0)).withColumns({"lower": F.col("q1") - limits.outlier_spread * spread, "upper": F.col("q3") + limits.outlier_spread * spread})
     rows = long.join(F.broadcast(stats), "column_name")  # a row per column of the table

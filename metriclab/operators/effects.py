@@ -5,16 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import quantile
+from ..functions.scratch import once
+from ..functions.stats import quantiles
 
 
 def quartile_effects(long: DataFrame, target: str = "y", exact: bool = True, min_distinct: int = 4, min_rows: int = 10, min_side: int = 5) -> DataFrame:
     """(cand, q1, q3, low_median, high_median, direction, low_n, high_n) where an effect can be stated."""
-    rows = long.filter(F.col("v").isNotNull() & F.col(target).isNotNull())
-    # four different values are as many as matter, so distinct values are not all counted
-    bounds = rows.groupBy("cand").agg(F.count("*").alias("n"), F.count_distinct("v").alias("values"), quantile("v", 0.25, exact).alias("q1"), quantile("v", 0.75, exact).alias("q3"))
-    bounds = bounds.filter((F.col("values") >= min_distinct) & (F.col("n") >= min_rows) & (F.col("q1") != F.col("q3"))).select("cand", "q1", "q3")
-    sides = rows.join(bounds, "cand").select("cand", "q1", "q3", F.when(F.col("v") <= F.col("q1"), F.col(target)).alias("low"), F.when(F.col("v") >= F.col("q3"), F.col(target)).alias("high"))
-    found = sides.groupBy("cand", "q1", "q3").agg(quantile("low", 0.5, exact).alias("low_median"), quantile("high", 0.5, exact).alias("high_median"), F.count("low").alias("low_n"), F.count("high").alias("high_n"))
+    rows = once(long.filter(F.col("v").isNotNull() & F.col(target).isNotNull()).select("cand", "v", target), "effects")
+    bounds = quantiles(rows, ["cand"], "v", {"q1": 0.25, "q3": 0.75}, exact, min_distinct)
+    bounds = bounds.filter((F.col("n") >= min_rows) & (F.col("q1") != F.col("q3"))).select("cand", "q1", "q3")
+    side = F.when(F.col("v") <= F.col("q1"), "low").when(F.col("v") >= F.col("q3"), "high")
+    sides = rows.join(F.broadcast(bounds), "cand").select("cand", side.alias("side"), F.col(target).cast("double").alias("y")).filter("side is not null")  # a row per candidate
+    sides = once(sides, "sides")
+    found = quantiles(sides, ["cand", "side"], "y", {"median": 0.5}, exact)
+    of = lambda c, s, name: F.max(F.when(F.col("side") == s, F.col(c))).alias(name)
+    found = found.groupBy("cand").agg(of("median", "low", "low_median"), of("median", "high", "high_median"), of("n", "low", "low_n"), of("n", "high", "high_n")).join(bounds, "cand")
     direction = F.when(F.col("high_median") > F.col("low_median"), "positive").otherwise("negative")
-    return found.filter((F.col("low_n") >= min_side) & (F.col("high_n") >= min_side)).withColumn("direction", direction)
+    found = found.filter((F.col("low_n") >= min_side) & (F.col("high_n") >= min_side)).withColumn("direction", direction)
+    return found.select("cand", "q1", "q3", "low_median", "high_median", "low_n", "high_n", "direction")

@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import guarded_corr, melted, spearman
+from ..functions.scratch import once
+from ..functions.stats import correlation_matrix, guarded_corr, rank_correlations
 from ..settings import Thresholds
 from .cleaning import date_columns, numeric_columns
 
@@ -24,34 +25,45 @@ class WorkingLists:
     targets: list[str] = field(default_factory=list)
 
 
-def leakage(df: DataFrame, target: str, columns: Sequence[str] | None = None, limits: Thresholds = Thresholds(), buckets: int = 32) -> DataFrame:
+def leakage(df: DataFrame, target: str, columns: Sequence[str] | None = None, limits: Thresholds = Thresholds()) -> DataFrame:
     """(column_name, correlation, leaks): rank correlation of each numeric column with the target.
 
     The target leaks by definition; an undefined correlation gives NULL in both.
     """
     names = [c for c in columns or numeric_columns(df) if c != target]
-    pairs = melted(df, names, keep=[F.col(target).cast("double").alias("y")])
-    listed = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in names])).alias("column_name"))
-    found = listed.join(spearman(pairs, ["column_name"], "v", "y", buckets), "column_name", "left")
-    rows = found.select("column_name", F.col("rho").alias("correlation"), (F.abs("rho") >= limits.leak_correlation).alias("leaks"))
+    found = rank_correlations(df, [(c, target) for c in names])
+    rows = found.select(F.col("a").alias("column_name"), F.col("rho").alias("correlation"), (F.abs("rho") >= limits.leak_correlation).alias("leaks"))
     return rows.unionByName(df.sparkSession.range(1).select(F.lit(target).alias("column_name"), F.lit(1.0).alias("correlation"), F.lit(True).alias("leaks")))
 
 
 def duplicate_columns(df: DataFrame, columns: Sequence[str] | None = None, limits: Thresholds = Thresholds()) -> DataFrame:
-    """(a, b, correlation) of column pairs, a before b, that say the same; all pairs in one aggregation."""
+    """(a, b, correlation) of column pairs, a before b, that say the same.
+
+    Columns without missing values are correlated in one matrix; a pair with a missing
+    value counts the rows that have both.  A constant repeats nothing.
+    """
     names = sorted(columns or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    found = []
     plain = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in names])
-    for lo in range(0, len(pairs), 40):  # wide aggregates fall out of code generation
-        some = pairs[lo : lo + 40]
-        row = plain.agg(*[guarded_corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(some)])
-        listed = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("correlation")) for i, (a, b) in enumerate(some)])
-        found.append(row.select(F.explode(listed).alias("p")).select("p.*"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.filter(F.abs("correlation") >= limits.duplicate_correlation)
+    return correlated(plain, names).filter(F.abs("correlation") >= limits.duplicate_correlation)
+
+
+def correlated(plain: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(a, b, correlation) of all pairs of DOUBLE columns; undefined ones are left out.  The driver gets a number per pair."""
+    names = list(names)
+    plain = once(plain.select(*[F.col(f"`{c}`") for c in names]), "wide")
+    missing = plain.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(names)]).first()
+    whole = [c for i, c in enumerate(names) if not missing[f"m{i}"]]
+    found = correlation_matrix(plain, whole)
+    rest = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :] if a not in whole or b not in whole]
+    for lo in range(0, len(rest), 20):  # wide aggregates fall out of code generation
+        some = rest[lo : lo + 20]
+        row = plain.agg(*[guarded_corr(f"`{a}`", f"`{b}`").alias(f"p{i}") for i, (a, b) in enumerate(some)]).first()
+        found += [(a, b, row[f"p{i}"]) for i, (a, b) in enumerate(some) if row[f"p{i}"] is not None]
+    return df_of(plain, found)
+
+
+def df_of(like: DataFrame, pairs: list[tuple[str, str, float]]) -> DataFrame:
+    return like.sparkSession.createDataFrame(pairs, "a string, b string, correlation double")
 
 
 def duplicate_notes(pairs: DataFrame) -> DataFrame:
@@ -137,14 +149,11 @@ def year_column(df: DataFrame, dates: Sequence[str], configured: str = "") -> st
     return f"year(`{dates[0]}`)"
 
 
-def ratio_pairs(df: DataFrame, numerators: Sequence[str], denominators: Sequence[str], limits: Thresholds = Thresholds(), buckets: int = 32) -> DataFrame:
+def ratio_pairs(df: DataFrame, numerators: Sequence[str], denominators: Sequence[str], limits: Thresholds = Thresholds()) -> DataFrame:
     """(num, den, correlation, kept): pairs whose ratio would say little are not kept."""
     pairs = [(n, d) for n in numerators for d in denominators if n != d]
-    items = F.array(*[F.struct(F.lit(n).alias("num"), F.lit(d).alias("den"), F.col(n).cast("double").alias("a"), F.col(d).cast("double").alias("b")) for n, d in pairs])
-    found = spearman(df.select(F.explode(items).alias("p")).select("p.*"), ["num", "den"], buckets=buckets)
-    return found.select("num", "den", F.col("rho").alias("correlation"), ~(F.coalesce(F.abs("rho"), F.lit(0.0)) >= limits.tautology_correlation)).toDF("num", "den", "correlation", "kept")
-
-
+    found = rank_correlations(df, pairs)
+    return found.select(F.col("a").alias("num"), F.col("b").alias("den"), F.col("rho").alias("correlation"), (~(F.coalesce(F.abs("rho"), F.lit(0.0)) >= limits.tautology_correlation)).alias("kept"))
 
 
 def merged_classification(classes: dict[str, dict], leaks: DataFrame, notes: DataFrame) -> dict[str, dict]:

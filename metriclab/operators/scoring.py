@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import guarded_corr, quantile, rank_pct
+from ..functions.scratch import once
+from ..functions.stats import correlation_matrix, quantiles, rank_pct  # noqa: F401
 from ..settings import Thresholds
 
 
 def winsorized(long: DataFrame, limits: Thresholds = Thresholds(), exact: bool = True) -> DataFrame:
     """Values clipped to the outer quantiles of their candidate; a missing value stays missing."""
-    bounds = long.groupBy("cand").agg(quantile("v", limits.clip_low, exact).alias("lo"), quantile("v", limits.clip_high, exact).alias("hi"))
-    clipped = F.when(F.col("v").isNotNull(), F.greatest("lo", F.least("hi", "v")))
-    return long.join(bounds, "cand").withColumn("v", clipped).drop("lo", "hi")
+    long = once(long, "long")
+    bounds = quantiles(long, ["cand"], "v", {"_lo": limits.clip_low, "_hi": limits.clip_high}, exact).select("cand", "_lo", "_hi")
+    clipped = F.when(F.col("v").isNotNull(), F.greatest("_lo", F.least("_hi", "v")))
+    return long.join(F.broadcast(bounds), "cand", "left").withColumn("v", clipped).drop("_lo", "_hi")  # a row per candidate
 
 
 def statistics(long: DataFrame) -> DataFrame:
@@ -53,8 +55,10 @@ def stability(long: DataFrame, year: str = "year") -> DataFrame:
 
 
 def median_imputed(long: DataFrame, exact: bool = True) -> DataFrame:
-    medians = long.groupBy("cand").agg(quantile("v", 0.5, exact).alias("median"))
-    return long.join(medians, "cand").withColumn("v", F.coalesce("v", "median")).drop("median")
+    """Missing values as the median of their candidate, which has one unless all are missing."""
+    long = once(long, "long")
+    medians = quantiles(long, ["cand"], "v", {"_median": 0.5}, exact).select("cand", "_median")
+    return long.join(F.broadcast(medians), "cand", "left").withColumn("v", F.coalesce("v", "_median")).drop("_median")  # a row per candidate
 
 
 def composite(scores: DataFrame, limits: Thresholds = Thresholds(), neutral: float | None = None) -> DataFrame:
@@ -63,45 +67,3 @@ def composite(scores: DataFrame, limits: Thresholds = Thresholds(), neutral: flo
     term = lambda c: F.coalesce(F.col(c), F.lit(neutral)) if neutral is not None else F.col(c)
     total = sum((F.lit(w) * term(c) for w, c in zip(limits.weights[1:], names[1:])), F.lit(limits.weights[0]) * term(names[0]))
     return scores.withColumn("score", total)
-
-
-def correlation_pairs(imputed: DataFrame, row: str = "row_id", limits: Thresholds = Thresholds(), least: float = 0.0) -> DataFrame:
-    """(a, b, correlation) of candidate pairs, from a complete long form with a row number.
-
-    The rows of an observation meet on its number; pairs grow with the square of the
-    candidates, not of the observations.
-    """
-    left, right = imputed.select(row, F.col("cand").alias("a"), F.col("v").alias("x")), imputed.select(row, F.col("cand").alias("b"), F.col("v").alias("y"))
-    pairs = left.join(right, row).filter("a < b")
-    return pairs.groupBy("a", "b").agg(guarded_corr("x", "y").alias("correlation")).filter(F.abs("correlation") >= least)
-
-
-def wide_correlations(wide: DataFrame, names: list[str], block: int = 40) -> DataFrame:
-    """The same from a wide, complete table: no join, blocks of pairs as aggregates."""
-    pairs = [(a, b) for i, a in enumerate(sorted(names)) for b in sorted(names)[i + 1 :]]
-    found = []
-    for lo in range(0, len(pairs), block):
-        some = pairs[lo : lo + block]
-        row = wide.agg(*[guarded_corr(f"`{a}`", f"`{b}`").alias(f"p{i}") for i, (a, b) in enumerate(some)])
-        items = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("correlation")) for i, (a, b) in enumerate(some)])
-        found.append(row.select(F.explode(items).alias("p")).select("p.*"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def correlation_matrix(wide: DataFrame, names: list[str]) -> list[tuple[str, str, float]]:
-    """(a, b, correlation) of all pairs in one pass over a complete wide table; pairs with a constant are left out.
-
-    The driver gets a number per pair of candidates, whatever the number of rows.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    if len(names) < 2:
-        return []
-    plain = wide.select(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(names)])
-    vectors = VectorAssembler(inputCols=plain.columns, outputCol="x").transform(plain).select("x")
-    matrix = Correlation.corr(vectors, "x").first()[0].toArray()
-    return [(names[i], names[j], float(matrix[i, j])) for i in range(len(names)) for j in range(i + 1, len(names)) if matrix[i, j] == matrix[i, j]]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .operators import candidates as C
 from .operators import cleaning, effects, profiling, roles, scoring, selection
+from .functions.scratch import once
 from .operators.importance import forest_importance
 from .plans.discovery import Options, discover, imputed_wide, numbered, scores
 from .settings import Thresholds
@@ -406,7 +407,8 @@ SCORES_SQL = (
 
 def long(spark: SparkSession, sf_dir: str, rows: bool = False) -> DataFrame:
     keep = [F.year("o_orderdate").alias("year"), F.col(TARGET).alias("y"), *([F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")] if rows else [])]
-    return C.long_form(flat(spark, sf_dir), [c for c, _ in SCORED], keep)
+    used = dict.fromkeys([*(i for c, _ in SCORED for i in c.inputs()), "o_orderdate", TARGET, "l_orderkey", "l_partkey", "l_linenumber"])
+    return C.long_form(once(flat(spark, sf_dir).select(*used), "flat"), [c for c, _ in SCORED], keep)
 
 
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -482,7 +484,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     some = [c for c, _ in SCORED[:6]]
     wide = imputed_wide(flat(spark, sf_dir), some, [], Options(limits=Thresholds(clip_low=0.0, clip_high=1.0), exact=True))
-    return rounded(scoring.wide_correlations(wide, [c.label() for c in some]))
+    return rounded(roles.correlated(wide, sorted(c.label() for c in some)))
 
 
 def forest_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[C.Candidate], DataFrame]:

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from metriclab.functions.stats import average_ranks, guarded_corr, spearman
+from metriclab.functions.stats import average_ranks, guarded_corr, quantiles, rank_correlations, spearman
 from metriclab.operators import cleaning, effects, roles, scoring, selection
 from metriclab.operators.selection import greedy_prune, weight_grid
 
@@ -21,7 +21,7 @@ def frame(spark, rows, schema):
 @given(values=st.lists(st.integers(-3, 3), min_size=1, max_size=30))
 def test_average_ranks(spark, values):
     df = frame(spark, [("k", i, float(v)) for i, v in enumerate(values)], "key string, i int, v double")
-    got = {r["i"]: r["rank"] for r in average_ranks(df, ["key"], "v", buckets=4).collect()}
+    got = {r["i"]: r["rank"] for r in average_ranks(df, ["key"], "v").collect()}
     want = pd.Series(values).rank()
     assert [got[i] for i in range(len(values))] == want.tolist()
 
@@ -123,3 +123,34 @@ def test_effect_needs_four_values(spark):
     rows = [("three", float(i % 3), float(i)) for i in range(30)] + [("many", float(i), float(i)) for i in range(30)]
     got = effects.quartile_effects(frame(spark, rows, "cand string, v double, y double")).collect()
     assert [(r["cand"], r["direction"], r["low_n"], r["high_n"]) for r in got] == [("many", "positive", 8, 8)]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.integers(-3, 3), st.floats(-1e6, 1e6)), min_size=1, max_size=60))
+def test_quantiles_are_exact(spark, values):
+    df = frame(spark, [("k", None if v is None else float(v)) for v in values] + [("few", 1.0), ("few", 2.0)], "key string, v double")
+    got = {r["key"]: r for r in quantiles(df, ["key"], "v", {"lo": 0.01, "mid": 0.5, "hi": 0.99}).collect()}
+    some = [float(v) for v in values if v is not None]
+    assert ("k" in got) == bool(some) and got["few"]["mid"] == 1.5
+    if some:
+        assert [got["k"][c] for c in ("lo", "mid", "hi")] == pytest.approx(np.quantile(some, [0.01, 0.5, 0.99]).tolist()) and got["k"]["n"] == len(some)
+
+
+def test_quantiles_where_the_sketch_misses(spark, monkeypatch):
+    import metriclab.functions.stats as stats
+
+    monkeypatch.setattr(stats, "MISS", -0.3)  # bounds that leave the quantile out
+    df = frame(spark, [("k", float(i)) for i in range(101)], "key string, v double")
+    assert quantiles(df, ["key"], "v", {"a": 0.25, "b": 0.505}).first().asDict() == {"key": "k", "n": 101, "least": 0.0, "most": 100.0, "a": 25.0, "b": 50.5}
+
+
+def test_mostly_zeros_are_ranked_and_cut(spark):
+    df = spark.range(4000).selectExpr("cast(if(id % 20 = 0, id, 0) as double) AS x", "cast(id as double) AS y", "cast(if(id % 7 = 0, null, id % 5) as double) AS z", "1.0D AS c")
+    plain = df.toPandas()
+    got = {(r["a"], r["b"]): r["rho"] for r in rank_correlations(df, [("x", "y"), ("z", "y"), ("x", "z"), ("c", "y")]).collect()}
+    for a, b in (("x", "y"), ("z", "y"), ("x", "z")):
+        both = plain[[a, b]].dropna()
+        assert got[a, b] == pytest.approx(both[a].rank().corr(both[b].rank()), abs=1e-9)
+    assert got["c", "y"] is None
+    found = scoring.winsorized(df.selectExpr("'x' AS cand", "x AS v")).agg({"v": "max"}).first()[0]
+    assert found == pytest.approx(np.quantile(plain["x"], 0.99))
