@@ -1,7 +1,8 @@
 """Only reading plans over the given tables may run.
 
 A statement is parsed, not searched for words: its plan must be made of reading nodes,
-and every relation must be a name on the list, so paths and table functions stay out.
+every relation must be a name on the list, so paths and table functions stay out, and
+every function must be one of the engine's own that work on values.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 #: Words that the strict mode refuses anywhere.
-FORBIDDEN = ("insert", "update", "delete", "drop", "alter", "create", "replace", "truncate", "attach", "detach", "pragma", "vacuum")
+FORBIDDEN = ("insert", "update", "delete", "drop", "alter", "create", "truncate", "attach", "detach", "pragma", "vacuum", "replace")
 #: Logical nodes that only read.
 READING = frozenset(
     "Project Filter Aggregate Sort Join Distinct GlobalLimit LocalLimit Limit Offset Union Intersect Except SubqueryAlias UnresolvedRelation UnresolvedWith CTERelationDef WithCTE UnresolvedSubqueryColumnAliases "
@@ -20,6 +21,12 @@ READING = frozenset(
 )
 
 
+#: Group of the engine's own functions that call Java methods or tell about files, users and the session.
+CLOSED_GROUP = "misc_funcs"
+#: Names that the engine reads as functions of the session where no column has them.
+SESSION = frozenset(("current_user", "user", "session_user", "current_catalog", "current_database", "current_schema"))
+
+
 class RefusedQuery(ValueError):
     """The statement isn't one that may run."""
 
@@ -66,6 +73,34 @@ def _subqueries(expression) -> list:
     return out
 
 
+def _functions(node) -> Iterable[str]:
+    """Names of the functions in a node's expressions, and of a generator beside a table."""
+    waiting = [node.expressions().apply(i) for i in range(node.expressions().length())]
+    if node.nodeName() == "Generate":
+        waiting.append(node.generator())
+    while waiting:
+        e = waiting.pop()
+        kind = e.getClass().getSimpleName()
+        if kind == "UnresolvedFunction":
+            parts = e.nameParts()
+            yield ".".join(parts.apply(i) for i in range(parts.length()))
+        elif kind == "UnresolvedGenerator":
+            yield e.name().funcName()
+        elif kind == "UnresolvedAttribute" and e.nameParts().length() == 1 and e.nameParts().apply(0).lower() in SESSION:
+            yield e.nameParts().apply(0)
+        waiting += [e.children().apply(i) for i in range(e.children().length())]
+
+
+def _works_on_values(spark: SparkSession, name: str) -> bool:
+    """Whether a function is built in and of no closed group; what is registered by a user is not."""
+    jvm = spark.sparkContext._jvm
+    try:
+        info = spark._jsparkSession.sessionState().catalog().lookupFunctionInfo(jvm.org.apache.spark.sql.catalyst.FunctionIdentifier(name))
+    except Exception:  # no such function
+        return False
+    return name.lower() not in SESSION and info.getSource() == "built-in" and info.getGroup() not in ("", CLOSED_GROUP)
+
+
 def checked(spark: SparkSession, sql: str, tables: Iterable[str], strict_keywords: bool = False) -> str:
     """The statement, if it only reads the given tables and its own CTEs."""
     if strict_keywords and (word := next((w for w in FORBIDDEN if re.search(rf"\b{w}\b", sql, re.I)), None)):
@@ -88,4 +123,6 @@ def checked(spark: SparkSession, sql: str, tables: Iterable[str], strict_keyword
             parts = node.multipartIdentifier()
             if parts.length() != 1 or parts.apply(0).lower() not in allowed:
                 raise RefusedQuery(f"unknown table {node.tableName()}")
+        if refused := next((f for f in _functions(node) if not _works_on_values(spark, f)), None):
+            raise RefusedQuery(f"the function {refused} is not allowed")
     return sql

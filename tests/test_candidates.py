@@ -130,8 +130,16 @@ def test_tolerant_replies():
 ALLOWED = [
     "SELECT * FROM t", "WITH c AS (SELECT a FROM t) SELECT * FROM c", "SELECT replace(s, 'update', 'x') FROM t -- limit", "SELECT x.a FROM t x JOIN t y ON x.a = y.a WHERE x.a IN (SELECT a FROM t)",
     "SELECT a, rank() OVER (ORDER BY a) FROM t", "(SELECT a FROM t) UNION SELECT a FROM t ORDER BY 1 LIMIT 3", "SELECT a, count(*) FROM t GROUP BY ROLLUP (a) HAVING count(*) > 0",
+    "SELECT upper(s), round(a / 2, 1), coalesce(s, 'x'), CAST(a AS STRING), year(current_date()), get_json_object(s, '$.a') FROM t WHERE s LIKE 's%'", "SELECT e FROM t LATERAL VIEW explode(array(a)) v AS e",
+    "SELECT transform(array(a), x -> abs(x)), percentile_approx(a, 0.5) OVER (PARTITION BY s) FROM t",
 ]
 REFUSED = ["DROP TABLE t", "INSERT INTO t SELECT * FROM t", "SELECT 1; SELECT 2", "SELECT * FROM parquet.`/etc`", "SELECT * FROM other", "CREATE TABLE z AS SELECT * FROM t", "SELECT * FROM range(5)", "SELECT * FROM t WHERE a IN (SELECT a FROM other)", "not sql"]
+CALLS = [
+    "java_method('java.lang.System', 'setProperty', 'x', 'y')", "reflect('java.lang.System', 'getProperty', 'user.home')", "try_reflect('java.lang.System', 'getProperty', 'user.home')", "input_file_name()",
+    "abs(length(reflect('java.lang.System', 'getProperty', 'user.home')))", "own_udf(a)", "current_user()", "session_user", "raise_error('x')", "no_such_function(a)",
+]
+REFUSED += [f"SELECT {c} FROM t" for c in CALLS] + [f"SELECT a FROM t WHERE s = {c}" for c in CALLS] + [f"SELECT a FROM t WHERE a IN (SELECT length({CALLS[1]}) FROM t)", f"WITH c AS (SELECT {CALLS[0]} AS x FROM t) SELECT x FROM c"]
+REFUSED += [f"SELECT transform(array(a), x -> {CALLS[1]}) FROM t", f"SELECT max(a) OVER (ORDER BY {CALLS[1]}) FROM t", f"SELECT a FROM t ORDER BY {CALLS[1]}", f"SELECT a FROM t LATERAL VIEW explode(array({CALLS[1]})) v AS e"]
 
 
 @pytest.mark.parametrize("sql", ALLOWED)
@@ -142,6 +150,7 @@ def test_guard_allows(spark, sql):
 
 @pytest.mark.parametrize("sql", REFUSED)
 def test_guard_refuses(spark, sql):
+    spark.udf.register("own_udf", lambda a: a)
     with pytest.raises(RefusedQuery):
         checked(spark, sql, ["t"])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from compare import connection, difference
 
+import metriclab.contract_queries  # noqa: F401
 from metriclab.queries import ORACLES, QUERIES
 
 SLOW = {"discovery_rounds", "rf_importance"}
