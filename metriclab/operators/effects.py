@@ -14,6 +14,7 @@ def quartile_effects(long: DataFrame, target: str = "y", exact: bool = True, min
     rows = once(long.filter(F.col("v").isNotNull() & F.col(target).isNotNull()).select("cand", "v", target), "effects")
     bounds = quantiles(rows, ["cand"], "v", {"q1": 0.25, "q3": 0.75}, exact, min_distinct)
     bounds = bounds.filter((F.col("n") >= min_rows) & (F.col("q1") != F.col("q3"))).select("cand", "q1", "q3")
+    bounds = once(bounds, "bounds")
     side = F.when(F.col("v") <= F.col("q1"), "low").when(F.col("v") >= F.col("q3"), "high")
     sides = rows.join(F.broadcast(bounds), "cand").select("cand", side.alias("side"), F.col(target).cast("double").alias("y")).filter("side is not null")  # a row per candidate
     sides = once(sides, "sides")
