@@ -100,7 +100,7 @@ def expected_grams(w: list[str]) -> int:
 # --- repeated strings, lines and chunks -------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("rules", [repeats.Repeats(), repeats.Repeats(crowd=1, shard=3000, held=100), repeats.Repeats(repeats.Anchors(60, 20), crowd=2)])
+@pytest.mark.parametrize("rules", [repeats.Repeats(), repeats.Repeats(crowd=1, shard=3000, held=100), repeats.Repeats(repeats.Anchors(60, 20), crowd=2), repeats.Repeats(crowd=1, shard=1), repeats.Repeats(repeats.Anchors(60, 20), crowd=0, shard=1)])
 def test_suffix_removal(docs, rules):
     rows = [(k, (t or "").encode()) for k, t in plain(docs)]
     length = rules.anchors.length
