@@ -7,9 +7,9 @@ different contexts are put together and their suffixes sorted (see ``suffixes``)
 
 Every step groups by a hash and is linear in the texts.  Contexts that occur often are
 counted, not gathered; a hash with very many different contexts is cut into finer shards
-by the bytes that all strings of a slice of it share.  Where even such a slice may be too
-large for one task, the single strings of the contexts are grouped by a digest, so that no
-shard is larger than ``shard`` bytes whatever the texts share.
+by the bytes that all strings of a slice of it share.  Where even such a slice is larger
+than ``shard`` bytes, its single strings are grouped by a digest, so that no task holds more
+whatever the texts share.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from .suffixes import repeated_starts
 
 @dataclass(frozen=True)
 class Repeats:
-    """``shard`` is about the bytes sorted together; a hash with over ``crowd`` contexts is cut in ``slices``, one with over ``most`` in strings."""
+    """``shard`` is about the bytes sorted together; a hash with over ``crowd`` contexts is cut in ``slices``, and a larger slice in strings."""
 
     anchors: Anchors = field(default_factory=Anchors)
     shard: int = 2_000_000
@@ -42,19 +42,8 @@ class Repeats:
     crowd: int = 1000
     slices: int = 8
 
-    @property
-    def width(self) -> int:
-        """Places before the anchor at which the strings of one slice begin."""
-        return -(-(self.anchors.length - self.anchors.gram + 1) // self.slices)
 
-    @property
-    def most(self) -> int:
-        """Contexts whose slices together are about ``shard`` bytes."""
-        return max(self.crowd, self.shard // (self.anchors.length + self.width))
-
-
-#: How the contexts of a hash are cut; rows of bodies that are handed over at once.
-WHOLE, SLICES, STRINGS = 0, 1, 2
+#: Rows that are handed over at once.
 HANDED = 20_000
 
 
@@ -97,24 +86,21 @@ def anchor_table(docs: DataFrame, key: str, text: str, rules: Repeats) -> DataFr
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame, key: str, text: str, rules: Repeats) -> DataFrame:
-    """(shard, _row, _size, offset, alone, body): bytes of the contexts in ``wanted``, or of their slices, or digests of their strings."""
-    lists = wanted.groupBy("_row", "_size").agg(F.collect_list(F.struct("h", "lo", "shape", "alone", "cut")).alias("_list"))
+    """(shard, _row, _size, offset, alone, body): bytes of the contexts in ``wanted``, crowded ones in slices."""
+    lists = wanted.groupBy("_row", "_size").agg(F.collect_list(F.struct("h", "lo", "shape", "alone", "crowded")).alias("_list"))
     rows = docs.select(*[c.alias(n) for n, c in spans.row_id(key, text).items()], F.col(text).alias("_text"))
     rows = rows.join(lists.hint("merge"), ["_row", "_size"]).select("_row", "_size", "_text", "_list")
-    length, width = rules.anchors.length, rules.width
-    span = length - rules.anchors.gram + 1
+    length, gram = rules.anchors.length, rules.anchors.gram
+    span = length - gram + 1
+    width = -(-span // rules.slices)
     names = ["_row", "_size", "shard", "offset", "alone", "body"]
     kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.binary())
 
     def cut(whole: bytes, c: dict) -> Iterator[tuple[int, int, bytes]]:
         lo, left, size = c["lo"], c["shape"] >> 16, c["shape"] & 0xFFFF
-        if c["cut"] == WHOLE:
+        if not c["crowded"]:
             yield c["h"], lo, whole[lo : lo + size]
             return
-        if c["cut"] == STRINGS:
-            for at in range(lo + max(0, left - span + 1), lo + min(left, size - length) + 1):
-                yield 0, at, hashlib.blake2b(whole[at : at + length], digest_size=16).digest()
-            return
         body = np.frombuffer(whole[lo : lo + size], dtype=np.uint8)
         prefix = prefix_hash(body)
         for s in range(0, span, width):
@@ -154,15 +140,31 @@ def _bodies(docs: DataFrame, wanted: DataFrame, key: str, text: str, rules: Repe
     return rows.mapInArrow(run, "_row long, _size int, shard long, offset int, alone boolean, body binary")
 
 
-def _string_spans(strings: DataFrame, rules: Repeats) -> DataFrame:
-    """(_row, _size, start, end) of the single strings that occur elsewhere, told by 128 bits of a digest."""
-    strings = written(strings.select("_row", "_size", "offset", "alone", "body"), "strings")
-    place = F.struct("_row", "_size", "offset")
-    # contexts may overlap, so a string counts as repeated only if it has two places
-    twice = strings.groupBy("body").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("body")
-    found = strings.filter("alone").join(written(twice, "repeated").hint("merge"), "body")
-    start = F.col("offset").cast("long")
-    return found.select("_row", "_size", start.alias("start"), (start + rules.anchors.length).alias("end"))
+def _string_spans(bodies: DataFrame, rules: Repeats) -> DataFrame:
+    """(_row, _size, start, end) of the single strings in ``bodies`` that occur elsewhere, told by 128 bits of a digest."""
+    length = rules.anchors.length
+    names = ["_row", "_size", "start", "alone", "digest"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                some = batch.slice(lo, 500)
+                rows, starts, digests = [], [], []
+                for row, (offset, body) in enumerate(zip(some.column(2).to_pylist(), some.column(4).to_pylist())):
+                    for at in range(len(body) - length + 1):
+                        rows.append(row)
+                        starts.append(offset + at)
+                        digests.append(hashlib.blake2b(body[at : at + length], digest_size=16).digest())
+                own = [some.column(c).take(pa.array(rows, pa.int64())) for c in (0, 1, 3)]
+                yield pa.RecordBatch.from_arrays([own[0], own[1], pa.array(starts, pa.int64()), own[2], pa.array(digests, pa.binary())], names=names)
+
+    strings = bodies.select("_row", "_size", "offset", "alone", "body").mapInArrow(run, "_row long, _size int, start long, alone boolean, digest binary")
+    strings = written(strings, "strings")
+    place = F.struct("_row", "_size", "start")
+    # bodies of one text may overlap, so a string counts as repeated only if it has two places
+    twice = strings.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("digest")
+    found = strings.filter("alone").join(written(twice, "repeated").hint("merge"), "digest")
+    return found.select("_row", "_size", "start", (F.col("start") + length).alias("end"))
 
 
 def _sorted_spans(bodies: DataFrame, rules: Repeats) -> DataFrame:
@@ -217,14 +219,14 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rul
     contexts = differ.groupBy("h", "context").agg(F.sum("n").alias("n"), F.min(F.struct("_row", "_size", "lo", "shape")).alias("one"))
     contexts = written(contexts, "contexts")
     crowds = written(contexts.groupBy("h").agg(F.count("*").alias("m")).filter(F.col("m") > rules.crowd), "crowds")
-    cut = F.when(F.col("m") > rules.most, STRINGS).when(F.col("m") > rules.crowd, SLICES).otherwise(WHOLE)
-    wanted = contexts.join(crowds.hint("merge"), "h", "left").select("h", "one.*", (F.col("n") == 1).alias("alone"), cut.alias("cut"))
+    wanted = contexts.join(crowds.hint("merge"), "h", "left").select("h", "one.*", (F.col("n") == 1).alias("alone"), F.col("m").isNotNull().alias("crowded"))
     several = contexts.filter("n > 1").select("h", "context")
     whole = shared.filter("equal").select(*place).union(differ.join(several, ["h", "context"]).select(*place))
-    found = whole.union(_sorted_spans(_bodies(docs, wanted.filter(F.col("cut") < STRINGS), key, text, rules), rules))
-    if crowds.filter(F.col("m") > rules.most).isEmpty():
-        return found  # spares a reading of the texts for nothing
-    return found.union(_string_spans(_bodies(docs, wanted.filter(F.col("cut") == STRINGS), key, text, rules), rules))
+    bodies = written(_bodies(docs, wanted, key, text, rules), "bodies")
+    large = written(bodies.groupBy("shard").agg(F.sum(F.length("body")).alias("n")).filter(F.col("n") > rules.shard).select("shard"), "large")
+    if large.isEmpty():
+        return whole.union(_sorted_spans(bodies, rules))
+    return whole.union(_sorted_spans(bodies.join(large, "shard", "left_anti"), rules)).union(_string_spans(bodies.join(large, "shard"), rules))
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Repeats = Repeats()) -> DataFrame:
