@@ -308,3 +308,35 @@ def test_pipeline_stages(spark, sf_dir):
         ids = t.encode(text[r["doc_id"]], add_special_tokens=False).ids
         assert np.frombuffer(r["token_ids"], "<u4").tolist() == ids and r["n_tokens"] == len(ids)
     assert json.dumps([n for n, _ in p.STAGES])
+
+
+def test_pipeline_stages_at_the_edges(spark, docs, no_docs):
+    import corpus_pipeline as p
+
+    full = docs.withColumn("lang", F.lit(None).cast("string"))
+    raw = Counter((r["doc_id"], r["text"]) for r in full.collect())
+    ids = {}
+    for name, stage in p.STAGES[:-1]:
+        got = stage(spark, full, "")
+        assert got.schema.names == full.columns and got.schema["kept"].dataType == full.schema["kept"].dataType, name
+        rows = [(r["doc_id"], r["text"]) for r in got.collect()]
+        ids[name] = {k for k, _ in rows}
+        if name != "line dedup":
+            assert all(n <= 2 * raw[r] for r, n in Counter(rows).items()), name
+        assert stage(spark, no_docs, "").collect() == [], name
+    blank = {72, 73, 74}
+    assert not blank & ids["quality rules"] and not blank & ids["line dedup"]
+    assert {75, 76} & ids["quality rules"] == set() and {75, 76, None} <= ids["line dedup"]
+    assert {70, 71} & ids["line dedup"] == set() and 3 in ids["line dedup"]
+    assert blank | {3, 76, None} <= ids["near duplicates"] and not {70, 71} & ids["near duplicates"]
+    assert ids["mixing"] <= {k for k, _ in raw}
+    t = tokenizers.Tokenizer.from_file(PATH)
+    t.no_truncation()
+    t.no_padding()
+    found = Counter((r["doc_id"], r["n_tokens"], bytes(r["token_ids"])) for r in p.STAGES[-1][1](spark, full, "").collect())
+    want = Counter()
+    for (k, text), n in raw.items():
+        tokens = t.encode(text or "", add_special_tokens=False).ids
+        want[(k, len(tokens), np.array(tokens, dtype="<u4").tobytes())] += n
+    assert found == want
+    assert p.STAGES[-1][1](spark, no_docs, "").collect() == []
