@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, chunks, htmltext, jaccard, mixing, quality, repeats, spans, units, vectors
+from . import bpe, chat, chunks, htmltext, jaccard, mixing, periodic, quality, repeats, spans, units, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,10 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.cut_digests(docs, chunks.repeated_chunks(docs))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.with_runs(periodic.with_tails(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_chat_format": op2_chat_format,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_line_chunks": op10_line_chunks,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 #: All pairs, for tables of test size; a recursive walk gives the components.
 _VECTORS = """
