@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, chunks, htmltext, jaccard, mixing, periodic, quality, repeats, spans, units, vectors
+from . import bpe, chat, chunks, htmltext, jaccard, manifest, mixing, periodic, quality, repeats, spans, topk, units, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,17 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.cut_digests(docs, chunks.repeated_chunks(docs))
 
 
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof; those with an even checksum are verified without their newlines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    return manifest.manifest(docs, changed={"text": manifest.without_newlines(docs)})
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(periodic.with_runs(periodic.with_tails(table(spark, sf_dir, "documents"))))
 
@@ -92,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_line_chunks": op10_line_chunks,
+    "op11_top_k": op11_top_k,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_periodic_runs": op13_periodic_runs,
 }
 #: All pairs, for tables of test size; a recursive walk gives the components.
@@ -103,4 +116,4 @@ r AS (SELECT vec_id AS a, vec_id AS b FROM u UNION SELECT r.a, l.b FROM r JOIN l
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c
 """
-ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "line_unit_dedup": units.LINE_ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_jaccard_join": jaccard.ORACLE}
+ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "line_unit_dedup": units.LINE_ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_jaccard_join": jaccard.ORACLE, "op11_top_k": topk.ORACLE, "op12_merkle_manifest": manifest.ORACLE}
