@@ -3,7 +3,8 @@
 Trees of digests are computed by supersteps.  Every node sends its digest to its parent; a
 parent with all its children hashes them and sends on, until each group has one node, and
 then the groups' nodes do the same up to the root.  In reverse, every node sends its children
-the siblings on the way to the root, so that each row can be verified by itself.
+the siblings on the way to the root, so that each row can be verified by itself.  Nodes of a
+block of some levels lie together, so that only messages between blocks are shuffled.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from .scratch import written
 
 #: Children of a node at most.
 ARITY = 3
+#: Levels of a block; a block has ARITY to this power nodes on its lowest level at most.
+LEVELS = 5
 #: Nodes of a partition, on average.
 NODES = 20_000
 #: A node's number in its tree is below this; tree and number make one key.
@@ -89,55 +92,70 @@ def folded(digest: bytes, path: bytes) -> bytes:
     return digest
 
 
+def within(digests: Sequence[bytes], levels: int) -> list[Sequence[bytes]]:
+    """The levels of a block: every completed parent hashes its children."""
+    out = [digests]
+    for _ in range(levels):
+        out.append([hashed(out[-1][i : i + ARITY]) for i in range(0, len(out[-1]), ARITY)])
+    return out
+
+
+def way(levels: list[Sequence[bytes]], place: int) -> bytes:
+    """The steps of a proof from a node of a block's lowest level to its top."""
+    out = b""
+    for level in levels[:-1]:
+        first = place - place % ARITY
+        out += siblings(place % ARITY, level[first : first + ARITY])
+        place //= ARITY
+    return out
+
+
 def climb(leaves: RDD, total: int, most: int) -> tuple[list[RDD], list[RDD]]:
-    """Supersteps upward from (key, (n, digest, payload)): groups of children by their parent's key, and finished trees, by level.
+    """Supersteps upward from (key, (n, digest, payload)): blocks by their top's key, and finished trees, by superstep.
 
     ``n`` counts the nodes of the tree's level; a tree with one node sends nothing more.
     """
-    groups, done, level = [], [], leaves
-    for k in range(height(most) + 1):
+    blocks, done, level = [], [], leaves
+    for k in range(-(-height(most) // LEVELS) + 1):
         done.append(level.filter(lambda r: r[1][0] == 1))
-        if k == height(most):
+        if k == -(-height(most) // LEVELS):
             break
-        sent = level.filter(lambda r: r[1][0] > 1).map(_to_parent)
-        group = sent.groupByKey(max(1, -(-total // (NODES * ARITY ** (k + 1))))).mapValues(_in_order)
-        groups.append(group)
-        level = group.mapValues(_completed)
-    return groups, done
+        sent = level.filter(lambda r: r[1][0] > 1).map(_to_block)
+        block = sent.groupByKey(max(1, -(-total // (NODES * ARITY ** (k * LEVELS))))).mapValues(_completed)
+        blocks.append(block)
+        level = block.mapValues(lambda b: (-(-b[0] // ARITY**LEVELS), b[1][-1][0], None))
+    return blocks, done
 
 
-def _to_parent(node):
+def _to_block(node):
     key, (n, digest, payload) = node
     tree, place = divmod(key, PLACES)
-    return tree * PLACES + place // ARITY, (place % ARITY, n, digest, payload)
+    return tree * PLACES + place // ARITY**LEVELS, (place % ARITY**LEVELS, n, digest, payload)
 
 
-def _in_order(children):
+def _completed(children):
+    """(n, levels of the block, payloads) once all children of a block are there."""
     some = sorted(children, key=lambda c: c[0])
-    return some[0][1], [c[2] for c in some], [c[3] for c in some]
-
-
-def _completed(group):
-    n, digests, _ = group
-    return -(-n // ARITY), hashed(digests), None
+    n = some[0][1]
+    return n, within([c[2] for c in some], min(LEVELS, height(n))), [c[3] for c in some]
 
 
 def _to_children(node):
-    """From (key, (group, (head, path))): the way on from each child."""
-    key, ((_, digests, _), (head, path)) = node
+    """From (key, (block, (head, path))): the way on from each node of the block's lowest level."""
+    key, ((_, levels, _), (head, path)) = node
     tree, place = divmod(key, PLACES)
-    for i in range(len(digests)):
-        yield tree * PLACES + place * ARITY + i, (head, siblings(i, digests) + path)
+    for i in range(len(levels[0])):
+        yield tree * PLACES + place * ARITY**LEVELS + i, (head, way(levels, i) + path)
 
 
-def descend(groups: list[RDD], starts: list[RDD]) -> RDD:
-    """Supersteps downward: (key, (group, (head, path))) for every parent of leaves.
+def descend(blocks: list[RDD], starts: list[RDD]) -> RDD:
+    """Supersteps downward: (key, (block, (head, path))) for every block of leaves.
 
-    ``starts`` has (key, (head, path)) of the trees whose only node is on that level.
+    ``starts`` has (key, (head, path)) of the trees that have one node left at that superstep.
     """
-    ways = starts[len(groups)]
-    for k in range(len(groups) - 1, -1, -1):
-        reached = groups[k].join(ways, groups[k].getNumPartitions())
+    ways = starts[len(blocks)]
+    for k in range(len(blocks) - 1, -1, -1):
+        reached = blocks[k].join(ways, blocks[k].getNumPartitions())
         if k == 0:
             return reached
         ways = reached.flatMap(_to_children).union(starts[k])
@@ -186,7 +204,7 @@ def manifest(docs: DataFrame, fields: Sequence[str] = ("doc_id", "source", "lang
     rows = leaves.join(groups, leaves["group"].eqNullSafe(groups["of"])).select("tree", "place", "n", "leaf", "seen", "key")
     nodes = rows.rdd.map(lambda r: (r[0] * PLACES + r[1], (r[2], bytes(r[3]), (None if r[4] is None else bytes(r[4]), r[5]))))
     upper, done = climb(nodes, total, most)
-    # the groups' nodes are the leaves of one more tree; each carries its level
+    # the groups' nodes are the leaves of one more tree; each carries the superstep that completed it
     tops = spark.sparkContext.union([d.map(lambda r, k=k: (r[0] // PLACES, (trees, r[1][1], k))) for k, d in enumerate(done)]).coalesce(max(1, -(-trees // NODES)))
     if trees == 1:
         heads = tops.map(lambda r: (0, (r[1][2], r[1][1] + r[1][1], b"")))
@@ -196,19 +214,19 @@ def manifest(docs: DataFrame, fields: Sequence[str] = ("doc_id", "source", "lang
         starts = [spark.sparkContext.emptyRDD()] * len(over) + [root]
 
         def heads_of(node):
-            """(tree, (level, subroot + root, path)) of the groups under one parent."""
-            key, ((_, digests, levels), (top, path)) = node
-            for i, (digest, level) in enumerate(zip(digests, levels)):
-                yield key % PLACES * ARITY + i, (level, digest + top, siblings(i, digests) + path)
+            """(tree, (superstep, subroot + root, path)) of the groups in one block."""
+            key, ((_, levels, ended), (top, path)) = node
+            for i, (digest, at) in enumerate(zip(levels[0], ended)):
+                yield key % PLACES * ARITY**LEVELS + i, (at, digest + top, way(levels, i) + path)
 
         heads = descend(over, starts).flatMap(heads_of)
     at_level = [heads.filter(lambda r, k=k: r[1][0] == k).map(lambda r: (r[0] * PLACES, (r[1][1], r[1][2]))) for k in range(len(upper) + 1)]
     lone = done[0].join(at_level[0], max(1, -(-trees // NODES))).map(lambda r: _proven(r[1][0][2][1], r[1][0][1], r[1][0][2][0], *r[1][1], paths))
 
     def leaves_of(node):
-        key, ((_, digests, payloads), (head, path)) = node
-        for i, (digest, (seen, name)) in enumerate(zip(digests, payloads)):
-            yield _proven(name, digest, seen, head, siblings(i, digests) + path, paths)
+        _, ((_, levels, payloads), (head, path)) = node
+        for i, (digest, (seen, name)) in enumerate(zip(levels[0], payloads)):
+            yield _proven(name, digest, seen, head, way(levels, i) + path, paths)
 
     found = descend(upper, at_level).flatMap(leaves_of).union(lone) if upper else lone
     return spark.createDataFrame(found, schema, verifySchema=False)

@@ -54,7 +54,7 @@ def found(df):
     return list(map(tuple, manifest.manifest(df, changed={"text": manifest.without_newlines(df)}).collect()))
 
 
-@pytest.mark.parametrize("sizes", [[1], [2], [1, 1], [27, 28, 1, 9, 10, 3], [5] * 40, [243], [250, 1]])
+@pytest.mark.parametrize("sizes", [[1], [2], [1, 1], [27, 28, 1, 9, 10, 3], [5] * 40, [243], [250, 1, 244, 729], [1, 2] * 140])
 def test_proofs_equal_a_tree_in_memory(spark, sizes, monkeypatch):
     monkeypatch.setattr(manifest, "NODES", 50)
     rows = [(100 * g + i, None if g == 0 else f"é{g}" if g % 2 else f"s{g}", None if i % 4 == 0 else "en", None if i % 5 == 0 else i, None if i % 7 == 0 else "" if i % 7 == 1 else f"a\nb{i}\n") for g, n in enumerate(sizes) for i in range(n)]
