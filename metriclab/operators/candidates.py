@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import once
 from ..settings import Thresholds
 
 MICROSECONDS = 86_400_000_000
@@ -163,18 +166,54 @@ def group_statistics(df: DataFrame, dim: str, means: Sequence[Candidate | str],
     return rows.select(dim, F.col("_n").cast("double").alias("_n"), *[F.when(big, F.col(f"_m{i}")).alias(f"_m{i}") for i in range(len(means))])
 
 
+#: Dimensions of one aggregation by grouping sets.
+FAMILIES = 30
+
+
+def family_id(k: int, dims: int) -> int:
+    """``grouping_id`` of the rows that are grouped by dimension ``k`` of ``dims`` alone."""
+    return (1 << dims) - 1 - (1 << (dims - 1 - k))
+
+
+def group_families(df: DataFrame, dims: Sequence[str], means: Sequence[Candidate | str], limits: Thresholds = Thresholds()) -> DataFrame:
+    """(_d0, _d1, ..., _family, _n, _m0, _m1, ...): size and means of every group of every dimension, from one scan.
+
+    ``_family`` is the grouping id, which names the dimension; null keys are left out.
+    """
+    ds = [f"_d{k}" for k in range(len(dims))]
+    rows = df.select(*[F.col(f"`{d}`").alias(x) for d, x in zip(dims, ds)], *[column(m).alias(f"_v{i}") for i, m in enumerate(means)])
+    found = rows.groupingSets([[F.col(x)] for x in ds], *map(F.col, ds)).agg(F.grouping_id().alias("_family"), F.count("*").alias("_n"), *[F.avg(f"_v{i}").alias(f"_m{i}") for i in range(len(means))])
+    found = found.filter(reduce(or_, [F.col(x).isNotNull() for x in ds]))
+    big = F.col("_n") >= limits.group_min_rows
+    return found.select(*ds, F.col("_family").cast("long").alias("_family"), F.col("_n").cast("double").alias("_n"), *[F.when(big, F.col(f"_m{i}")).alias(f"_m{i}") for i in range(len(means))])
+
+
+def _statistics_by_dim(df: DataFrame, dims: Sequence[str], grouped: Sequence[Candidate], limits: Thresholds) -> dict[str, tuple[DataFrame, list]]:
+    """For each dimension (dim, _n, _m0, ...) and its means; several dimensions come from one written aggregation."""
+    wanted = {d: [c.args[0] for c in grouped if c.args[-1] == d and c.kind == "mean"] for d in dims}
+    if len(dims) < 2:
+        return {d: (group_statistics(df, d, means, limits), means) for d, means in wanted.items()}
+    out = {}
+    for lo in range(0, len(dims), FAMILIES):
+        some = dims[lo : lo + FAMILIES]
+        means = list(dict.fromkeys(m for d in some for m in wanted[d]))
+        table = once(group_families(df, some, means, limits), "families")
+        for k, d in enumerate(some):
+            rows = table.filter((F.col("_family") == family_id(k, len(some))) & F.col(f"_d{k}").isNotNull())
+            out[d] = rows.select(f"_d{k}", "_n", *[F.col(f"_m{means.index(m)}").alias(f"_m{i}") for i, m in enumerate(wanted[d])]), wanted[d]
+    return out
+
+
 def projected(df: DataFrame, candidates: Sequence[Candidate], keep: Sequence[str | Column] = (), limits: Thresholds = Thresholds()) -> DataFrame:
     """``keep`` and a DOUBLE column per candidate, named by its label, for every row.
 
-    A dimension costs one aggregation and one left join; whether that is broadcast is
-    left to the engine, which knows the size at run time.
+    All dimensions are aggregated in one scan and joined one by one; whether a join is
+    broadcast is left to the engine, which knows the size at run time.
     """
     grouped = [c for c in candidates if c.kind in ("mean", "count")]
     dims = list(dict.fromkeys(c.args[-1] for c in grouped))
     out, source = df, {}
-    for k, dim in enumerate(dims):
-        means = [c.args[0] for c in grouped if c.args[-1] == dim and c.kind == "mean"]
-        stats = group_statistics(df, dim, means, limits)
+    for k, (dim, (stats, means)) in enumerate(_statistics_by_dim(df, dims, grouped, limits).items()):
         stats = stats.toDF(f"_k{k}", f"_n{k}", *[f"_m{k}_{i}" for i in range(len(means))])
         out = out.join(stats, out[dim] == stats[f"_k{k}"], "left")
         source |= {(c.signature()): F.col(f"_n{k}") for c in grouped if c.args[-1] == dim and c.kind == "count"}

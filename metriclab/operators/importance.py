@@ -1,45 +1,205 @@
-"""Predictive score: importances of random forests over folds, with the error on held-out rows."""
+"""Predictive score: importances of random forests over folds, with the error on held-out rows.
+
+Features are turned into byte codes by one quantile sketch for all columns, and the codes are
+written once, packed into shards of bounded size by a hash of the row.  Every tree is grown
+in a task from a bootstrap of one shard; a table of one shard gives the usual forest, one of
+many gives every shard its part of the trees, and one tree at least, so all rows take part, work
+grows in proportion to them, and no histograms are shuffled.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import once
+
+#: Codes of a column at most.
+BINS = 64
+#: Rows and bytes of codes of a shard at most, on average.
+SHARD_ROWS, SHARD_BYTES = 250_000, 32 << 20
+#: Cells of the histograms that one pass counts into, and elements it counts.
+CELLS, ELEMENTS = 1 << 22, 1 << 20
+
+
+def cut_points(bins: int = BINS) -> list[float]:
+    """The shares of the rows at which a column is cut."""
+    return [i / (bins - 1) for i in range(1, bins)]
+
+
+def coded(df: DataFrame, cuts: Mapping[str, Sequence[float]], names: Mapping[str, str]) -> DataFrame:
+    """``df`` with a column of codes, named by ``names``, for each column of ``cuts``: how many cut points a value has reached."""
+    columns = list(cuts)
+    inf = float("inf")
+    splits = [[-inf, *sorted(set(cuts[c])), inf] for c in columns]
+    found = Bucketizer(splitsArray=splits, inputCols=columns, outputCols=[f"__code_{i}" for i in range(len(columns))], handleInvalid="keep").transform(df) if columns else df
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"__code_{i}").cast("tinyint").alias(names[c]) for i, c in enumerate(columns)])
+
+
+class Tree:
+    """A regression tree over byte codes, grown level by level with weights of a bootstrap."""
+
+    def __init__(self, codes: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int, bins: int):
+        rows = np.flatnonzero(weight)
+        codes, w = np.ascontiguousarray(codes[:, rows]), weight[rows].astype(np.float64)
+        wy = w * y[rows]
+        features, n = codes.shape
+        self.gains = np.zeros(features)
+        self.feature, self.cut, self.left = [np.full(1, -1)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
+        self.value = [np.array([wy.sum() / max(w.sum(), 1.0)])]
+        node, base = np.zeros(n, dtype=np.int64), 0  # node: the place among this level's nodes that may be split
+        places = np.zeros(1, dtype=np.int64)
+        for _ in range(depth):
+            if not len(node):
+                break
+            open_ = len(places)
+            count, total = np.bincount(node, w, open_), np.bincount(node, wy, open_)
+            best, feature, cut, left_count, left_total = self._best(codes, node, w, wy, count, total, bins)
+            split = best > 1e-9 * (1.0 + np.abs(total))
+            feature, cut = np.where(split, feature, -1), np.where(split, cut, 0)
+            np.add.at(self.gains, feature[split], best[split])
+            # children of the split nodes stand behind all nodes made so far, left before right
+            k = int(split.sum())
+            first = base + len(self.value[-1])
+            child = first + 2 * (np.cumsum(split) - 1)
+            self.feature[-1][places], self.cut[-1][places], self.left[-1][places] = feature, cut, child
+            sums, counts = np.empty(2 * k), np.empty(2 * k)
+            sums[0::2], counts[0::2] = left_total[split], left_count[split]
+            sums[1::2], counts[1::2] = total[split] - left_total[split], count[split] - left_count[split]
+            base += len(self.value[-1])
+            self.value.append(sums / np.maximum(counts, 1.0))
+            self.feature.append(np.full(2 * k, -1))
+            self.cut.append(np.zeros(2 * k, np.int64))
+            self.left.append(np.zeros(2 * k, np.int64))
+            keep = split[node]
+            codes, w, wy, node = codes[:, keep], w[keep], wy[keep], node[keep]
+            node = child[node] - first + (codes[feature[node], np.arange(len(node))] > cut[node])
+            places = np.arange(2 * k)
+
+    def _best(self, codes: np.ndarray, node: np.ndarray, w: np.ndarray, wy: np.ndarray, count: np.ndarray, total: np.ndarray, bins: int) -> tuple[np.ndarray, ...]:
+        """For each node the largest gain, its feature and code, and weight and sum of the left side."""
+        nodes, (features, n) = len(count), codes.shape
+        out = [np.full(nodes, -1.0), np.zeros(nodes, np.int64), np.zeros(nodes, np.int64), np.zeros(nodes), np.zeros(nodes)]
+        whole = total**2 / np.maximum(count, 1.0)
+        step = max(1, min(CELLS // (nodes * bins), ELEMENTS // max(n, 1)))
+        at = node * bins
+        for lo in range(0, features, step):
+            some = codes[lo : lo + step]
+            m = len(some)
+            key = (at + some + (np.arange(m) * (nodes * bins))[:, None]).ravel()
+            tile = (lambda x, m=m: np.tile(x, m)) if m > 1 else (lambda x: x)
+            held = np.bincount(key, tile(w), m * nodes * bins).reshape(m, nodes, bins).cumsum(axis=2)[:, :, :-1]
+            sums = np.bincount(key, tile(wy), m * nodes * bins).reshape(m, nodes, bins).cumsum(axis=2)[:, :, :-1]
+            rest, other = count[:, None] - held, total[:, None] - sums
+            gain = np.where((held > 0.5) & (rest > 0.5), sums**2 / np.maximum(held, 1.0) + other**2 / np.maximum(rest, 1.0), -1.0) - whole[:, None]
+            flat = gain.transpose(1, 0, 2).reshape(nodes, -1)
+            top = flat.argmax(axis=1)
+            f, cut = np.divmod(top, bins - 1)
+            value, rows = flat[np.arange(nodes), top], np.arange(nodes)
+            better = value > out[0]
+            for have, new in zip(out, (value, f + lo, cut, held[f, rows, cut], sums[f, rows, cut])):
+                have[better] = new[better]
+        return tuple(out)
+
+    def predict(self, codes: np.ndarray) -> np.ndarray:
+        feature, cut, left, value = (np.concatenate(x) for x in (self.feature, self.cut, self.left, self.value))
+        at = np.zeros(codes.shape[1], dtype=np.int64)
+        for _ in range(len(self.value) - 1):
+            inner = np.flatnonzero(feature[at] >= 0)
+            here = at[inner]
+            at[inner] = left[here] + (codes[feature[here], inner] > cut[here])
+        return value[at]
+
+
+_SHARD = pa.schema([("shard", pa.int64()), ("n", pa.int64()), ("codes", pa.binary()), ("y", pa.binary()), ("fold", pa.binary())])
+_GROWN = pa.schema([("shard", pa.int64()), ("fold", pa.int32()), ("trees", pa.int64()), ("shares", pa.list_(pa.float64())), ("held", pa.binary()), ("y", pa.binary())])
+
+
+def _packed(table: pa.Table) -> pa.Table:
+    """A shard as one row: codes column by column, targets, folds."""
+    codes = b"".join(table.column(i).to_numpy().astype(np.uint8).tobytes() for i in range(3, table.num_columns))
+    return pa.Table.from_pylist([{"shard": table.column(0)[0].as_py(), "n": table.num_rows, "codes": codes, "y": table.column(1).to_numpy().astype(np.float64).tobytes(), "fold": table.column(2).to_numpy().astype(np.uint8).tobytes()}], schema=_SHARD)
+
 
 def forest_importance(
-    wide: DataFrame, features: Sequence[str], target: str, key: str = "row_id", folds: int = 5, trees: int = 200, depth: int = 8, seed: int = 42, bins: int = 64
+    wide: DataFrame, features: Sequence[str], target: str, key: str = "row_id", folds: int = 5, trees: int = 200, depth: int = 8, seed: int = 42, bins: int = BINS, codes: Sequence[str] = (), shard_rows: int = SHARD_ROWS
 ) -> tuple[DataFrame, list[dict[str, float]]]:
-    """(cand, importance, predictive, significant) and the held-out error of every fold.
+    """(cand, importance, predictive) and the held-out error of every fold.
 
-    Folds come from a hash of the row's key, so they don't depend on partitions.  Rows
-    without a target are left out; few rows mean fewer folds.  ``importance`` is the mean
-    share over folds, ``predictive`` is relative to the largest.
+    ``codes`` names the columns that hold the features' codes already, in the features' order.
+    Folds and shards come from hashes of the row's key, so they don't depend on partitions.
+    Rows without a target are left out; where all rows are of one fold, it trains on them.
+    ``importance`` is the mean share over folds, ``predictive`` is relative to the largest.
+    A feature without a value anywhere has no share.
     """
-    names = list(features)
-    rows = wide.filter(F.col(target).isNotNull()).select(F.col(target).cast("double").alias("_y"), F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).alias("_fold"), *[F.col(f"`{c}`").alias(f"_f{i}") for i, c in enumerate(names)])
-    ready = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(names))], outputCol="_x").transform(rows).select("_y", "_fold", "_x").persist()
-    present = sorted(r["_fold"] for r in ready.select("_fold").distinct().collect())
-    sums, errors = [0.0] * len(names), []
-    evaluator = RegressionEvaluator(labelCol="_y", predictionCol="prediction")
-    for fold in present:
-        train = ready.filter(F.col("_fold") != fold) if len(present) > 1 else ready
-        model = RandomForestRegressor(featuresCol="_x", labelCol="_y", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="all", maxBins=bins).fit(train)
-        shares = model.featureImportances.toArray()
-        sums = [a + b for a, b in zip(sums, shares)]
-        held = model.transform(ready.filter(F.col("_fold") == fold))
-        errors.append({m: evaluator.setMetricName(m).evaluate(held) for m in ("rmse", "r2")})
-    ready.unpersist()
-    mean = [float(s) / max(len(present), 1) for s in sums]
+    names, spark = list(features), wide.sparkSession
+    rows = wide.filter(F.col(target).isNotNull()).withColumns({"_y": F.col(target).cast("double"), "_fold": F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("tinyint"), "_deal": F.xxhash64(F.lit(seed + 1), F.col(key))})
+    if not codes:
+        values = rows.select("_deal", "_y", "_fold", *[F.col(f"`{c}`").cast("double").alias(f"_f{i}") for i, c in enumerate(names)])
+        sketch = values.agg(*[F.percentile_approx(f"_f{i}", F.array(*map(F.lit, cut_points(bins))), F.lit(10_000)).alias(f"_f{i}") for i in range(len(names))]).first() if names else {}
+        cuts = {f"_f{i}": sketch[f"_f{i}"] or [0.0] for i in range(len(names))}
+        rows = coded(values, cuts, {c: f"_c{c[2:]}" for c in cuts})
+    else:
+        rows = rows.select("_deal", "_y", "_fold", *[F.col(c).alias(f"_c{i}") for i, c in enumerate(codes)])
+    sizes = {r["_fold"]: (r["n"], r["mean"]) for r in rows.groupBy("_fold").agg(F.count("*").alias("n"), F.avg("_y").alias("mean")).collect()} if names else {}
+    total = sum(n for n, _ in sizes.values())
+    if not total:
+        return spark.createDataFrame([(c, 0.0, 0.0) for c in names], "cand string, importance double, predictive double"), []
+    middle = sum(n * m for n, m in sizes.values()) / total
+    shards = -(-total // max(1, min(shard_rows, SHARD_BYTES // len(names))))
+    own = -(-trees // shards)
+    dealt = rows.select(F.pmod("_deal", F.lit(shards)).alias("shard"), "_y", "_fold", *[F.coalesce(f"_c{i}", F.lit(0).cast("tinyint")).alias(f"_c{i}") for i in range(len(names))])
+    table = once(dealt.groupBy("shard").applyInArrow(_packed, "shard bigint, n bigint, codes binary, y binary, fold binary"), "codes")
+    present, size = sorted(sizes), len(names)
+    # enough tasks for all cores; a task grows a fold's trees of one shard, or a part of them
+    parts = max(1, min(own, -(-2 * spark.sparkContext.defaultParallelism // (shards * len(present)))))
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                r = batch.slice(k, 1).to_pylist()[0]
+                matrix = np.frombuffer(r["codes"], dtype=np.uint8).reshape(size, r["n"])
+                y, of = np.frombuffer(r["y"]) - middle, np.frombuffer(r["fold"], dtype=np.uint8)
+                fold, part = present[r["job"] // parts], r["job"] % parts
+                out = of == fold
+                train = np.flatnonzero(~out) if len(present) > 1 else np.arange(r["n"])
+                held = np.flatnonzero(out)
+                mine, target_, test = np.ascontiguousarray(matrix[:, train]), y[train], np.ascontiguousarray(matrix[:, held])
+                shares, guess, grown = np.zeros(size), np.zeros(len(held)), 0
+                for t in range(part, own, parts):
+                    rng = np.random.default_rng([seed, fold, r["shard"], t])
+                    tree = Tree(mine, target_, rng.poisson(1.0, len(train)), depth, bins + 1)
+                    grown += 1
+                    guess += tree.predict(test)
+                    if tree.gains.sum() > 0:
+                        shares += tree.gains / tree.gains.sum()
+                yield pa.RecordBatch.from_pylist([{"shard": r["shard"], "fold": fold, "trees": grown, "shares": shares.tolist(), "held": guess.tobytes(), "y": y[held].tobytes()}], schema=_GROWN)
+
+    jobs = table.withColumn("job", F.explode(F.sequence(F.lit(0), F.lit(len(present) * parts - 1))))
+    grown = once(jobs.repartition(shards * len(present) * parts, "shard", "job").mapInArrow(grow, "shard bigint, fold int, trees bigint, shares array<double>, held binary, y binary"), "trees")
+
+    def missed(parts: pa.Table) -> pa.Table:
+        guess = sum(np.frombuffer(b) for b in parts.column("held").to_pylist()) / max(sum(parts.column("trees").to_pylist()), 1)
+        y = np.frombuffer(parts.column("y")[0].as_py())
+        return pa.table({"fold": pa.array([parts.column("fold")[0].as_py()], pa.int32()), "n": [len(y)], "error": [float(((guess - y) ** 2).sum())], "sum": [float(y.sum())], "squares": [float((y**2).sum())]})
+
+    shares = np.zeros((len(present), size))
+    for r in grown.select("fold", F.posexplode("shares").alias("i", "share")).groupBy("fold", "i").agg(F.sum("share").alias("share")).collect():  # a number per fold and feature
+        shares[present.index(r["fold"]), r["i"]] = r["share"]
+    shares /= np.maximum(shares.sum(axis=1, keepdims=True), 1e-300)
+    mean = shares.mean(axis=0).tolist()
+    errors = []
+    tests = grown.groupBy("shard", "fold").applyInArrow(missed, "fold int, n bigint, error double, sum double, squares double")
+    for r in sorted(tests.groupBy("fold").agg(*[F.sum(c).alias(c) for c in ("n", "error", "sum", "squares")]).collect(), key=lambda r: r["fold"]):
+        spread = r["squares"] - r["sum"] ** 2 / r["n"]
+        errors.append({"rmse": (r["error"] / r["n"]) ** 0.5, "r2": 1 - r["error"] / spread if spread > 0 else 0.0})
     top = max(mean, default=0.0) or 1.0
-    values = ", ".join(f"({i}, {m!r}D, {m / top!r}D)" for i, m in enumerate(mean))
-    names_column = F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1)
-    table = wide.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(i, importance, predictive)")
-    return table.select(names_column.alias("cand"), "importance", "predictive"), errors
+    return spark.createDataFrame([(c, m, m / top) for c, m in zip(names, mean)], "cand string, importance double, predictive double"), errors
 
 
 def significant(importance: DataFrame, share: float = 0.02) -> DataFrame:

@@ -48,7 +48,11 @@ def stability(long: DataFrame, year: str = "year") -> DataFrame:
 
     With one year for all, nothing is known: stability is NULL.
     """
-    yearly = long.filter(F.col(year).isNotNull()).groupBy("cand", year).agg(F.avg("v").alias("m"))
+    return drifted(long.filter(F.col(year).isNotNull()).groupBy("cand", year).agg(F.avg("v").alias("m")))
+
+
+def drifted(yearly: DataFrame) -> DataFrame:
+    """``stability`` from (cand, m), a row per candidate and year."""
     drift = yearly.groupBy("cand").agg(F.try_divide(F.stddev_samp("m"), F.abs(F.avg("m"))).alias("drift"))
     filled = F.coalesce("drift", F.max("drift").over(Window.partitionBy()))
     return drift.withColumn("_filled", filled).withColumn("stability", 1 - rank_pct("_filled")).select("cand", "drift", "stability")

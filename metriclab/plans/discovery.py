@@ -8,11 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import once
 from ..operators import candidates as C
-from ..operators import scoring, selection
-from ..operators.importance import forest_importance, significant
+from ..operators import selection
+from ..operators.cleaning import numeric_columns
 from ..operators.roles import WorkingLists, extended_dims, ratio_pairs, with_date_parts
 from ..settings import Thresholds
+from .ledger import Ledger
 
 
 @dataclass
@@ -31,7 +33,6 @@ class Options:
     trees: int = 200
     depth: int = 8
     folds: int = 5
-    exact: bool = False
     drop_crossover: bool = False
     use_forest: bool = True
 
@@ -41,73 +42,34 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("row_id", F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns]))
 
 
-def scores(df: DataFrame, found: Sequence[C.Candidate], target: str, year: str, options: Options) -> tuple[DataFrame, list[dict[str, float]]]:
-    """(cand, origin, predictive, information, stability, completeness, importance, significant) of what isn't degenerate."""
-    limits = options.limits
-    origin = F.create_map(*[F.lit(x) for c in found for x in (c.label(), c.origin)])
-    keep = [F.col("row_id"), F.expr(year).alias("year"), F.col(target).cast("double").alias("y")]
-    long = scoring.winsorized(C.long_form(df, found, keep, limits), limits, options.exact)
-    stats = scoring.statistics(long)
-    kept = scoring.degenerate_filter(stats, limits).filter("kept").select("cand")
-    stats = stats.join(kept, "cand", "left_semi")
-    table = scoring.completeness(stats).join(scoring.information(stats).drop("variation"), "cand").join(scoring.stability(long.join(kept, "cand", "left_semi")).drop("drift"), "cand", "left")
-    names = sorted(r["cand"] for r in table.select("cand").collect())
-    errors: list[dict[str, float]] = []
-    if options.use_forest and names:
-        wide = imputed_wide(df, [c for c in found if c.label() in set(names)], keep, options)
-        importance, errors = forest_importance(wide, names, "y", folds=options.folds, trees=options.trees, depth=options.depth)
-        table = table.join(significant(importance, limits.signal_share), "cand")
-    else:
-        table = table.withColumns({"importance": F.lit(0.0), "predictive": F.lit(0.0), "significant": F.lit(False)})
-    return scoring.composite(table.withColumn("origin", F.try_element_at(origin, F.col("cand"))), limits, neutral=0.5), errors
-
-
-def imputed_wide(df: DataFrame, found: Sequence[C.Candidate], keep: Sequence, options: Options) -> DataFrame:
-    """Candidates as columns, clipped and with medians for what is missing; bounds come from one aggregation."""
-    limits = options.limits
-    wide = C.projected(df, found, keep, limits)
-    names = [c.label() for c in found]
-    bounds = {}
-    for lo in range(0, len(names), 50):
-        some = names[lo : lo + 50]
-        qs = F.array(*map(F.lit, (limits.clip_low, 0.5, limits.clip_high)))
-        q = (lambda c: F.percentile(f"`{c}`", qs)) if options.exact else (lambda c: F.percentile_approx(f"`{c}`", qs, F.lit(10_000)))
-        row = wide.agg(*[q(c).alias(f"q{i}") for i, c in enumerate(some)]).first()
-        bounds |= {c: row[f"q{i}"] or [0.0, 0.0, 0.0] for i, c in enumerate(some)}
-    clipped = lambda c: F.coalesce(F.when(F.col(f"`{c}`").isNotNull(), F.greatest(F.lit(bounds[c][0]), F.least(F.lit(bounds[c][2]), F.col(f"`{c}`")))), F.lit(bounds[c][1]))
-    return wide.select(*[n for n in wide.columns if n not in set(names)], *[clipped(c).alias(c) for c in names])
-
-
 def discover(df: DataFrame, target: str, lists: WorkingLists, proposals: Sequence[dict] = (), year: str | None = None, options: Options = Options()) -> Discovery:
     """Rank the indicators of a cleaned table.
 
-    Each round scores all candidates, drops what is redundant or weak, and crosses the
-    best simple ratios for the next; what has been seen in any round isn't built again.
-    The last ranking is always cut to the final size.
+    Each round measures the candidates that are new, ranks all, drops what is redundant or
+    weak, and crosses the best simple ratios for the next; what has been seen in any round
+    isn't built again.  The last ranking is always cut to the final size.
     """
     limits = options.limits
-    df = with_date_parts(numbered(df), lists.dates).persist()
+    df = once(with_date_parts(numbered(df), lists.dates), "observations")
     dims = [d for d in extended_dims(df, lists, target, limits) if d in df.columns]
     year = year or (f"year(`{lists.dates[0]}`)" if lists.dates else "1")
     skip = []
     if lists.numerators and lists.denominators:
         skip = [(r["num"], r["den"]) for r in ratio_pairs(df, lists.numerators, lists.denominators, limits).filter("not kept").collect()]
-    from ..operators.cleaning import numeric_columns
-
     domain, rejected = C.guided(df, proposals, df.columns, numeric_columns(df), target, limits) if proposals else ([], [])
     found = C.unique([*domain, *C.exhaustive(lists.numerators, lists.denominators, dims, lists.targets, lists.dates, skip)])
     if not found:
         raise ValueError("the working lists give no candidates")
+    ledger = Ledger(df, target, year, [*dims, *(x for c in found for x in (*c.inputs(), *c.dims()))], limits)
     seen = {c.signature() for c in found}
-    ranking, errors = None, []
+    new, ranking, errors = found, None, []
     for round_ in range(limits.rounds):
-        table, errors = scores(df, found, target, year, options)
-        kept_rows = table.collect()  # a row per candidate; the next round's plan starts from it
+        ledger.add(new)
+        table, errors = ledger.scores(options.use_forest, trees=options.trees, depth=options.depth, folds=options.folds)
+        kept_rows = table.collect()  # a row per candidate; the ranking starts from it
         table = df.sparkSession.createDataFrame(kept_rows, table.schema)
-        rows = [(r["cand"], r["score"], r["origin"]) for r in kept_rows]
-        by_name = {c.label(): c for c in found}
-        wide = imputed_wide(df, [by_name[n] for n, _, _ in rows], [], options)
-        stay = selection.greedy_prune(rows, scoring.correlation_matrix(wide, [n for n, _, _ in rows]), limits)
+        by_name = {c.label(): c for c in ledger.found.values()}
+        stay = selection.greedy_prune([(r["cand"], r["score"], r["origin"]) for r in kept_rows], ledger.correlations(), limits)
         ranking = selection.weak_veto(table, limits).filter(F.col("kept") & F.col("cand").isin(stay)).drop("kept", "weakest")
         if round_ == limits.rounds - 1:
             break

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from .operators import candidates as C
 from .operators import cleaning, effects, profiling, roles, scoring, selection
 from .functions.scratch import once
+from .functions.stats import melted, quantiles
 from .operators.importance import forest_importance
-from .plans.discovery import Options, discover, imputed_wide, numbered, scores
+from .plans.discovery import Options, discover, numbered
+from .plans.ledger import Ledger, code
 from .settings import Thresholds
 from .sources import readers
 from .streaming.events import windowed_counts
@@ -477,51 +479,55 @@ def _(spark, sf_dir):
 
 @register(
     "correlation_pairs",
-    f"WITH {FLAT_SQL}, w AS (SELECT " + ", ".join(f"{sql} AS c{i}" for i, (_, sql) in enumerate(SCORED[:6])) + " FROM flat), m AS (SELECT " + ", ".join(f"coalesce(c{i}, quantile_cont(c{i}, 0.5) OVER ()) AS c{i}" for i in range(6)) + " FROM w), p AS ("
-    + " UNION ALL ".join(f"SELECT '{min(a.label(), b.label())}' AS a, '{max(a.label(), b.label())}' AS b, c{i} AS ra, c{j} AS rb FROM m" for i, (a, _) in enumerate(SCORED[:6]) for j, (b, _) in enumerate(SCORED[:6]) if i < j)
-    + f") SELECT a, b, round({CORR_SQL}, 4) AS correlation FROM p GROUP BY a, b",
+    f"WITH {FLAT_SQL}, w AS (SELECT " + ", ".join(f"{sql} AS c{i}" for i, (_, sql) in enumerate(SCORED)) + " FROM flat), m AS (SELECT " + ", ".join(f"coalesce(c{i}, quantile_cont(c{i}, 0.5) OVER ()) AS c{i}" for i in range(len(SCORED))) + " FROM w), p AS ("
+    + " UNION ALL ".join(f"SELECT '{min(a.label(), b.label())}' AS a, '{max(a.label(), b.label())}' AS b, c{i} AS ra, c{j} AS rb FROM m" for i, (a, _) in enumerate(SCORED) for j, (b, _) in enumerate(SCORED) if i < j)
+    + f") SELECT a, b, round({CORR_SQL}, 4) AS correlation FROM p GROUP BY a, b HAVING {CORR_SQL} IS NOT NULL",
 )
 def _(spark, sf_dir):
-    some = [c for c, _ in SCORED[:6]]
-    wide = imputed_wide(flat(spark, sf_dir), some, [], Options(limits=Thresholds(clip_low=0.0, clip_high=1.0), exact=True))
-    return rounded(roles.correlated(wide, sorted(c.label() for c in some)))
+    found = [c for c, _ in SCORED]
+    wide = once(C.projected(flat(spark, sf_dir), found), "wide")
+    rows = melted(wide, [c.label() for c in found], name="cand")
+    medians = {r["cand"]: r["median"] for r in quantiles(rows, ["cand"], "v", {"median": 0.5}).collect()}  # a row per candidate
+    filled = wide.select(*[F.coalesce(f"`{c.label()}`", F.lit(medians.get(c.label()))).alias(c.label()) for c in found])
+    return rounded(roles.correlated(filled, sorted(c.label() for c in found)))
 
 
-def forest_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[C.Candidate], DataFrame]:
-    """The numbered flat table, all candidates with the guided ones, and their scores with the forest at its defaults."""
-    df = numbered(flat(spark, sf_dir))
-    domain, _ = C.guided(df, PROPOSALS, df.columns, cleaning.numeric_columns(df), TARGET)
+def forest_ledger(spark: SparkSession, sf_dir: str, guided: bool = True) -> Ledger:
+    """The flat table's candidates, with the guided ones, measured once."""
+    used = dict.fromkeys([*NUMBERS, *(x for c, _ in SCORED for x in (*c.inputs(), *c.dims())), "o_orderdate"])
+    df = once(numbered(flat(spark, sf_dir)).select("row_id", *used), "observations")
+    domain = C.guided(df, PROPOSALS, df.columns, cleaning.numeric_columns(df), TARGET)[0] if guided else []
     found = C.unique([*domain, *[c for c, _ in SCORED]])
-    return df, found, scores(df, found, TARGET, "year(o_orderdate)", Options())[0]
+    ledger = Ledger(df, TARGET, "year(o_orderdate)", [x for c in found for x in (*c.inputs(), *c.dims())])
+    ledger.add(found)
+    return ledger
 
 
 @register("redundancy_prune")
 def _(spark, sf_dir):
-    df, found, table_ = forest_scores(spark, sf_dir)
-    rows = [(r["cand"], r["score"], r["origin"]) for r in table_.select("cand", "score", "origin").collect()]
-    names = {n for n, _, _ in rows}
-    wide = imputed_wide(df, [c for c in found if c.label() in names], [], Options())
-    kept = selection.greedy_prune(rows, scoring.correlation_matrix(wide, sorted(names)))
-    return table_.filter(F.col("cand").isin(kept)).select("cand", "origin")
+    ledger = forest_ledger(spark, sf_dir)
+    rows = [(r["cand"], r["score"], r["origin"]) for r in ledger.scores()[0].select("cand", "score", "origin").collect()]
+    kept = selection.greedy_prune(rows, ledger.correlations())
+    return spark.createDataFrame([(c, o) for c, _, o in rows if c in set(kept)], "cand string, origin string")
 
 
 @register("indicator_ranking_forest")
 def indicator_ranking_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranking with the forest's predictive score and the candidates' own origins."""
-    kept = selection.weak_veto(forest_scores(spark, sf_dir)[2]).filter("kept")
+    kept = selection.weak_veto(forest_ledger(spark, sf_dir).scores()[0]).filter("kept")
     return rounded(selection.top_per_origin(kept.select("cand", "origin", "predictive", "significant", "information", "stability", "completeness", "score")), 6)
 
 
 @register("weight_grid_search_forest")
 def _(spark, sf_dir):
-    return rounded(selection.weight_search(forest_scores(spark, sf_dir)[2].fillna(0.5, list(selection.SCORES))), 6)
+    return rounded(selection.weight_search(forest_ledger(spark, sf_dir).scores()[0].fillna(0.5, list(selection.SCORES))), 6)
 
 
 @register("rf_importance")
 def _(spark, sf_dir):
-    df = numbered(flat(spark, sf_dir))
-    wide = imputed_wide(df, [c for c, _ in SCORED], [F.col("row_id"), F.col(TARGET).alias("y")], Options())
-    return forest_importance(wide, [c.label() for c, _ in SCORED], "y")[0]
+    ledger = forest_ledger(spark, sf_dir, guided=False)
+    codes = [code(ledger.facts[s].place) for s in ledger.found]
+    return forest_importance(ledger.table, [c.label() for c in ledger.found.values()], "__y", key="__row", codes=codes)[0]
 
 
 @register("quartile_effect", f"WITH {LONG_SQL}, b AS (SELECT cand, count(*) AS n, count(DISTINCT v) AS k, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM long WHERE v IS NOT NULL AND y IS NOT NULL GROUP BY cand), e AS (SELECT cand, q1, q3, quantile_cont(y, 0.5) FILTER (WHERE v <= q1) AS low_median, quantile_cont(y, 0.5) FILTER (WHERE v >= q3) AS high_median, count(*) FILTER (WHERE v <= q1) AS low_n, count(*) FILTER (WHERE v >= q3) AS high_n FROM long JOIN b USING (cand) WHERE v IS NOT NULL AND k >= 4 AND n >= 10 AND q1 <> q3 GROUP BY cand, q1, q3) SELECT cand, round(q1, 4) AS q1, round(q3, 4) AS q3, round(low_median, 3) AS low_median, round(high_median, 3) AS high_median, low_n, high_n, CASE WHEN high_median > low_median THEN 'positive' ELSE 'negative' END AS direction FROM e WHERE low_n >= 5 AND high_n >= 5")

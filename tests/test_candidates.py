@@ -110,7 +110,7 @@ def test_discovery_finds_the_signal(spark):
         rows.append((a, b, c, rnd.choice("uv"), f"{2015 + i % 5}-03-01 00:00:00", 10 * a / b + rnd.gauss(0, 0.1)))
     df = spark.createDataFrame(rows, "a double, b double, c double, g string, d string, y double").selectExpr("a", "b", "c", "g", "CAST(d AS TIMESTAMP_NTZ) d", "y")
     lists = WorkingLists(dates=["d"], dims=["g"], denominators=["b", "c"], numerators=["a"], targets=["c"])
-    found = discover(df, "y", lists, options=Options(limits=Thresholds(rounds=2, best_ratios=2, final=5, veto=0.0), trees=5, folds=2, depth=4, exact=True))
+    found = discover(df, "y", lists, options=Options(limits=Thresholds(rounds=2, best_ratios=2, final=5, veto=0.0), trees=5, folds=2, depth=4))
     ranked = [r["cand"] for r in found.ranking.collect()]
     assert ranked[0] == "ratio__a__over__b" and len(ranked) <= 5 and found.errors[0]["r2"] > 0.5
 
