@@ -27,7 +27,7 @@ def profiles(df) -> list[dict]:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="metriclab", description=__doc__)
-    parser.add_argument("command", choices=["discover", "profile", "prompts", "ask"])
+    parser.add_argument("command", choices=["discover", "profile", "prompts", "diagnose", "ask"])
     parser.add_argument("question", nargs="?", default="")
     parser.add_argument("--trees", type=int, default=200)
     args = parser.parse_args(argv)
@@ -47,10 +47,15 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "prompts":  # what a model would be asked about the first columns, without asking
         shown = language.ScriptedModel(lambda prompt: print(prompt) or "{}")
         language.classify(shown, [p for p in slim if p["type_class"] != "date"][:3], tries=1)
+    elif args.command == "diagnose":  # three columns asked one by one, before a long run
+        if model is None:
+            parser.error("diagnosing needs METRICLAB_MODEL_URL")
+        for row in language.diagnostic(model, [p for p in slim if p["type_class"] != "date"]):
+            print(json.dumps(row))
     elif args.command == "ask":
         if model is None:
             parser.error("asking needs METRICLAB_MODEL_URL")
-        sinks.write_table(df, settings.table_name)
+        sinks.write_table(df, settings.table_name, str((out / "table").absolute()))
         answer = ask(spark, model, args.question, settings.table_name, limits=settings.thresholds)
         print(answer.text, answer.sql, *answer.rows[:20], sep="\n")
     else:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .operators import candidates as C
 from .operators import cleaning, effects, profiling, roles, scoring, selection
 from .functions.scratch import once
-from .functions.stats import melted, quantiles
+from .functions.stats import guarded_corr, melted, quantiles
 from .operators.importance import forest_importance
 from .plans.discovery import Options, discover, numbered
 from .plans.ledger import Ledger, code
@@ -399,25 +399,31 @@ def pct_sql(value: str) -> str:
 
 INFO_SQL = f"i AS (SELECT cand, round(coalesce(spread / nullif(abs(mean), 0), 0), 9) AS variation FROM s), info AS (SELECT cand, variation, {pct_sql('variation')} AS information FROM i)"
 STAB_SQL = f"ym AS (SELECT cand, year, avg(v) AS m FROM long WHERE year IS NOT NULL GROUP BY cand, year), dr AS (SELECT cand, stddev_samp(m) / nullif(abs(avg(m)), 0) AS drift FROM ym GROUP BY cand), fl AS (SELECT cand, drift, coalesce(drift, max(drift) OVER ()) AS filled FROM dr), stab AS (SELECT cand, drift, 1 - {pct_sql('filled')} AS stability FROM fl)"
-#: A stand-in for the forest's share and the origin, the same in both engines; ``forest_scores`` has the real ones.
-PREDICTIVE = "length(cand) / 80.0"
+#: Stands for the forest's share where SQL must give the same: how strongly a candidate goes with the target, between 0 and 1.
+SIGNAL_SQL = f"sig AS (SELECT cand, round(abs({CORR_SQL.replace('ra', 'v').replace('rb', 'y')}), 9) AS predictive FROM long WHERE v IS NOT NULL AND y IS NOT NULL GROUP BY cand)"
 ORIGIN = "CASE WHEN cand LIKE 'ratio%' THEN 'domain' WHEN cand LIKE 'mean%' THEN 'crossover' ELSE 'exhaustive' END"
 SCORES_SQL = (
-    f"{STATS_SQL}, {INFO_SQL}, {STAB_SQL}, scores AS (SELECT s.cand, {ORIGIN.replace('cand', 's.cand')} AS origin, CAST({PREDICTIVE.replace('cand', 's.cand')} AS DOUBLE) AS predictive, information, stability, present::DOUBLE / n AS completeness FROM s JOIN info ON s.cand = info.cand JOIN stab ON s.cand = stab.cand)"
+    f"{STATS_SQL}, {INFO_SQL}, {STAB_SQL}, {SIGNAL_SQL}, scores AS (SELECT s.cand, {ORIGIN.replace('cand', 's.cand')} AS origin, coalesce(predictive, 0) AS predictive, information, stability, present::DOUBLE / n AS completeness FROM s JOIN info ON s.cand = info.cand JOIN stab ON s.cand = stab.cand LEFT JOIN sig ON s.cand = sig.cand)"
 )
 
 
-def long(spark: SparkSession, sf_dir: str, rows: bool = False) -> DataFrame:
-    keep = [F.year("o_orderdate").alias("year"), F.col(TARGET).alias("y"), *([F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")] if rows else [])]
-    used = dict.fromkeys([*(i for c, _ in SCORED for i in c.inputs()), "o_orderdate", TARGET, "l_orderkey", "l_partkey", "l_linenumber"])
-    return C.long_form(once(flat(spark, sf_dir).select(*used), "flat"), [c for c, _ in SCORED], keep)
+def long(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
+    """The candidates in long form with year and target; written first only where it is read ``again``."""
+    used = dict.fromkeys([*(i for c, _ in SCORED for i in c.inputs()), "o_orderdate", TARGET])
+    df = C.long_form(flat(spark, sf_dir).select(*used), [c for c, _ in SCORED], [F.year("o_orderdate").alias("year"), F.col(TARGET).alias("y")])
+    return once(df, "long") if again else df
+
+
+def signal(rows: DataFrame) -> DataFrame:
+    """(cand, predictive): the strength of the correlation with the target, in the place of the forest's share."""
+    return rows.groupBy("cand").agg(F.round(F.abs(guarded_corr("v", "y")), 9).alias("predictive"))
 
 
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = long(spark, sf_dir)
+    rows = long(spark, sf_dir, again=True)
     stats = scoring.statistics(rows)
-    table_ = scoring.completeness(stats).join(scoring.information(stats).drop("variation"), "cand").join(scoring.stability(rows).drop("drift"), "cand")
-    return table_.select("cand", F.expr(ORIGIN).alias("origin"), F.expr(PREDICTIVE).cast("double").alias("predictive"), "information", "stability", "completeness")
+    table_ = scoring.completeness(stats).join(scoring.information(stats).drop("variation"), "cand").join(scoring.stability(rows).drop("drift"), "cand").join(signal(rows), "cand", "left")
+    return table_.select("cand", F.expr(ORIGIN).alias("origin"), F.coalesce("predictive", F.lit(0.0)).alias("predictive"), "information", "stability", "completeness")
 
 
 @register("winsorize", f"WITH {LONG_SQL}, b AS (SELECT cand, quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM long GROUP BY cand) SELECT cand, count(v) AS present, round(min(CASE WHEN v IS NOT NULL THEN greatest(lo, least(hi, v)) END), 7) AS lo, round(max(CASE WHEN v IS NOT NULL THEN greatest(lo, least(hi, v)) END), 7) AS hi, round(avg(CASE WHEN v IS NOT NULL THEN greatest(lo, least(hi, v)) END), 7) AS mean FROM long JOIN b USING (cand) GROUP BY cand")
@@ -542,8 +548,9 @@ def indicator_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = scoring.statistics(rows)
     kept = scoring.degenerate_filter(stats).filter("kept").select("cand")
     stats = stats.join(kept, "cand", "left_semi")
-    found = scoring.completeness(stats).join(scoring.information(stats).drop("variation"), "cand").join(scoring.stability(rows.join(kept, "cand", "left_semi")).drop("drift"), "cand")
-    found = found.select("cand", F.expr(ORIGIN).alias("origin"), F.expr(PREDICTIVE).cast("double").alias("predictive"), "information", "stability", "completeness")
+    rows = rows.join(kept, "cand", "left_semi")
+    found = scoring.completeness(stats).join(scoring.information(stats).drop("variation"), "cand").join(scoring.stability(rows).drop("drift"), "cand").join(signal(rows), "cand", "left")
+    found = found.select("cand", F.expr(ORIGIN).alias("origin"), F.coalesce("predictive", F.lit(0.0)).alias("predictive"), "information", "stability", "completeness")
     ranked = selection.weak_veto(scoring.composite(found)).filter("kept").select("cand", "origin", "information", "stability", "completeness", "score")
     return rounded(selection.top_per_origin(ranked), 6)
 
@@ -551,10 +558,10 @@ def indicator_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 register(
     "indicator_ranking",
     f"WITH {LONG_SQL.replace('long AS (', 'raw AS (')}, b AS (SELECT cand, quantile_cont(v, 0.01) AS lo, quantile_cont(v, 0.99) AS hi FROM raw GROUP BY cand), "
-    "clip AS (SELECT cand, year, CASE WHEN v IS NOT NULL THEN greatest(lo, least(hi, v)) END AS v FROM raw JOIN b USING (cand)), "
+    "clip AS (SELECT cand, year, y, CASE WHEN v IS NOT NULL THEN greatest(lo, least(hi, v)) END AS v FROM raw JOIN b USING (cand)), "
     "s0 AS (SELECT cand, count(*) AS n, count(v) AS present, min(v) AS lo, max(v) AS hi, avg(v) AS mean, stddev_samp(v) AS spread FROM clip GROUP BY cand), "
     "s AS (SELECT * FROM s0 WHERE present::DOUBLE / n > 0.30 AND hi - lo > 0 AND (hi - lo) / greatest(abs(mean), abs(hi), 1) > 1e-8), long AS (SELECT * FROM clip WHERE cand IN (SELECT cand FROM s)), "
-    f"{INFO_SQL}, {STAB_SQL}, scores AS (SELECT s.cand, {ORIGIN.replace('cand', 's.cand')} AS origin, CAST({PREDICTIVE.replace('cand', 's.cand')} AS DOUBLE) AS predictive, information, stability, present::DOUBLE / n AS completeness FROM s JOIN info ON s.cand = info.cand JOIN stab ON s.cand = stab.cand), "
+    f"{INFO_SQL}, {STAB_SQL}, {SIGNAL_SQL}, scores AS (SELECT s.cand, {ORIGIN.replace('cand', 's.cand')} AS origin, coalesce(predictive, 0) AS predictive, information, stability, present::DOUBLE / n AS completeness FROM s JOIN info ON s.cand = info.cand JOIN stab ON s.cand = stab.cand LEFT JOIN sig ON s.cand = sig.cand), "
     f"p AS (SELECT *, least({pct_sql('predictive')}, {pct_sql('information')}, {pct_sql('stability')}, {pct_sql('completeness')}) AS weakest FROM scores) "
     "SELECT cand, origin, round(information, 6) AS information, round(stability, 6) AS stability, round(completeness, 6) AS completeness, round(0.6 * predictive + 0.2 * information + 0.1 * stability + 0.1 * completeness, 6) AS score FROM p WHERE origin = 'domain' OR weakest >= 0.1",
 )(indicator_ranking)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from pathlib import Path
 from typing import Any
 
@@ -22,12 +23,20 @@ def write_json(value: DataFrame | dict | list, path: str) -> None:
         Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
 
 
-def write_table(df: DataFrame, name: str, register_only: bool = True) -> None:
-    """The cleaned table under a name for SQL: a view, or a saved table that replaces the last."""
-    if register_only:
-        df.createOrReplaceTempView(name)
-    else:
-        df.write.mode("overwrite").saveAsTable(name)
+def write_table(df: DataFrame, name: str, path: str = "") -> None:
+    """The cleaned table saved under a name for SQL; it replaces the last.  With ``path`` its files lie there."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """A table in folders by the columns ``by``; a rerun replaces the partitions that ``df`` has rows of, and no others.
+
+    Rows are rebalanced by the columns first, so a partition gets few files and a large one is
+    written by many tasks.  The files of a run appear when all its tasks are done; a run that
+    is repeated leaves the same rows.  No rows change nothing.
+    """
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def write_excel(rows: list[dict[str, Any]], path: str, sheet: str = "Ranking", styled: bool = True) -> None:

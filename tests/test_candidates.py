@@ -94,7 +94,7 @@ def test_sinks_and_settings(spark, tmp_path):
     sinks.write_csv(df, str(tmp_path / "c"), single=True)
     sinks.write_json({"a": 1}, str(tmp_path / "j.json"))
     sinks.write_json(df, str(tmp_path / "j"))
-    sinks.write_table(df, "registered_rows")
+    sinks.write_table(df, "registered_rows", f"file://{tmp_path}/registered")
     assert spark.read.csv(str(tmp_path / "c"), header=True).count() == 1 and spark.table("registered_rows").count() == 1
     assert json.loads((tmp_path / "j.json").read_text()) == {"a": 1}
     assert Settings.from_env({"METRICLAB_TARGET": "y"}).target == "y"
