@@ -37,10 +37,13 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 #: Words in a class, id or role that name what is no part of an article, wherever it stands.
 APART = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|breadcrumb\w*|side-?bar\w*|cookie\w*|consent|notice\w*|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social\w*|"
-    r"comments?|comment-?list|respond|replies|disqus\w*|toolbar|pagination|pager|login|signup|navbar|menu|navigation|complementary|contentinfo|alert|alertdialog)(?=$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|breadcrumb\w*|side-?bar\w*|cookie\w*|consent|notice\w*|popup|modal|overlay|newsletter|subscri\w*|social\w*|"
+    r"comments?|comment-?list|respond|replies|feedback|reactions|disqus\w*|toolbar|pagination|pager|login|signup|navbar|menu|navigation|complementary|contentinfo|alert|alertdialog)(?=$|[\s_-])"
+    r"|(?:^|[\s_-])shar(?:e|ing)(?:[_-]?(?:bar|box|buttons?|icons?|links?|list|post|this|tools?|widget))*(?=$|\s)",
     re.I,
 )
+#: Words that name the header of an article beside its body.
+OWN_HEADER = re.compile(r"(?:^|[\s_-])(?:entry|post|article|story)[_-]?(?:head|header|heading|title|intro)(?=$|[\s_-])", re.I)
 #: Words that name a frame where no container sets the article apart.
 AROUND = re.compile(r"(?:^|[\s_-])(?:nav\w*|menu\w*|footer\w*|foot|header|masthead|related\w*|recommend\w*|widget\w*|skip|search\w*|copyright|disclaimer|tags|meta)(?=$|[\s_-])", re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -84,12 +87,13 @@ class _Piece:
 
 @dataclass
 class _Page:
-    """Pieces in order; elements by number with parent, mark and whether they are an article; paths by number with their last tag."""
+    """Pieces in order; elements by number with parent, mark, whether they are an article, and whether they are its header; paths by number with their last tag."""
 
     pieces: list[_Piece] = field(default_factory=list)
     parent: list[int] = field(default_factory=lambda: [0])
     mark: list[int] = field(default_factory=lambda: [PLAIN])
     main: list[bool] = field(default_factory=lambda: [False])
+    opens: list[bool] = field(default_factory=lambda: [False])
     last_tag: list[str] = field(default_factory=lambda: [""])
 
 
@@ -205,11 +209,13 @@ def pieces(page: str) -> _Page:
             out.last_tag.append(tag)
         main = tag in ("article", "main") or "role" in attributes and bool(re.search(r"role\s*=\s*[\"']?main\b", attributes, re.I))
         mark = _named(attributes) if attributes and tag not in ("html", "body", "main") else PLAIN
-        if tag in BOILERPLATE and not (tag == "header" and above[3]):
+        opens = bool(attributes) and any(OWN_HEADER.search(a or b or c) for a, b, c in NAMES.findall(attributes))
+        if tag in BOILERPLATE and not (tag == "header" and (above[3] or opens)):
             mark = STRONG if tag in ("form", "header") else FRAME
         out.parent.append(above[2])
         out.mark.append(mark)
         out.main.append(main)
+        out.opens.append(opens)
         solid.append(len(stack))
         stack.append((tag, path, len(out.parent) - 1, above[3] or main))
     return out
@@ -279,8 +285,14 @@ def content(page: _Page, rules: PathRatios) -> list[_Piece]:
         apart = apart or page.main[child] or share[child] < 0.98 * share[0]
     inside = np.zeros(n_held, dtype=bool)
     inside[inner] = True
-    for i in range(inner + 1, n_held):
-        inside[i] = inside[page.parent[i]]
+    # the article's own header stands before its body, beside it or beside what holds it
+    above = {0}
+    at = inner
+    while at:
+        above.add(page.parent[at])
+        at = page.parent[at]
+    for i in range(1, n_held):
+        inside[i] |= inside[page.parent[i]] or (page.opens[i] and i < inner and page.parent[i] in above)
     frame = mark >= STRONG
     if not apart:
         frame |= (mark == WEAK) & ~high

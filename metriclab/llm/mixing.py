@@ -110,9 +110,12 @@ def with_copies(
     docs = docs.drop(*added)
     words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size")
     # the columns of docs are packed, so none of their names can clash
-    slim = written(docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words), "sizes")
+    # buckets go by key and text, so that rows without a key, or of one key, are spread
+    drawn = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("/"), F.md5(F.coalesce(F.col(text), F.lit("")))))
+    drawn = F.conv(F.substring(drawn, 1, 8), 16, 10).cast("long").alias("drawn")
+    slim = written(docs.select(F.col(source).alias("source"), words, drawn), "sizes")
     one, two = _row_digest(docs)
-    full = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words, one.alias("d1"), two.alias("d2"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    full = docs.select(F.col(key).alias("k"), F.col(source).alias("source"), words, drawn, one.alias("d1"), two.alias("d2"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     per = source_targets(slim.select("source", "size"), weights, budget, max_repeat)
     per = per.select(
         F.col("source").alias("of"), "source_size", "target",
@@ -123,8 +126,7 @@ def with_copies(
     per = written(per, "targets")
 
     def bucketed(rows: DataFrame) -> DataFrame:
-        drawn = F.conv(F.substring(F.md5(F.coalesce(F.col("k").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long")
-        return rows.join(per, rows["source"].eqNullSafe(per["of"])).withColumn("bucket", drawn % F.col("buckets"))
+        return rows.join(per, rows["source"].eqNullSafe(per["of"])).withColumn("bucket", F.col("drawn") % F.col("buckets"))
 
     # rows before a bucket: a third level of stretches of 1,000 buckets, as one source may have a third of all rows
     totals = bucketed(slim).groupBy("of", "bucket").agg(F.count("*").alias("n")).withColumn("stretch", F.floor(F.col("bucket") / 1000))
@@ -152,7 +154,7 @@ def mixed(docs: DataFrame, **settings) -> DataFrame:
 
 #: The same draw in DuckDB, with the settings of the query.
 ORACLE = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || md5(coalesce(text, ''))) AS drawn, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, count(*) AS n_docs, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight, source_size * 2.0::DOUBLE AS most FROM s),
 l AS (SELECT *, row_number() OVER o AS place,
@@ -163,7 +165,7 @@ t AS (SELECT source, n_docs, source_size,
         CASE WHEN most > level * weight THEN (SELECT arg_min(level, place) FROM l WHERE most > level * weight) * weight ELSE most END AS target FROM l),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate, CAST(ceil(n_docs / 2000.0) AS BIGINT) AS buckets,
         CAST('0x' || substr(md5('7/' || coalesce(source, '')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS shift FROM t),
-b AS (SELECT d.doc_id, d.size, p.*, CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % p.buckets AS bucket
+b AS (SELECT d.doc_id, d.size, p.*, CAST('0x' || substr(d.drawn, 1, 8) AS BIGINT) % p.buckets AS bucket
       FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
 r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bucket, size, doc_id) AS through FROM b)
 SELECT doc_id, size, source_size, target,

@@ -210,8 +210,8 @@ def with_components(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     found = written(classes(rows, key, vector), "vectors")
     distinct = found.filter("cls is not null").groupBy("cls").agg(F.first("unit").alias("unit"), F.first("dim").alias("dim"), F.count("*").alias("copies"))
     distinct = written(distinct, "classes")
-    n = min(rules.pivots, -(-distinct.count() // rules.cell_rows))
-    pivots = distinct.orderBy(F.xxhash64("cls"), "cls").limit(n).select("unit", "dim").collect() if n > 1 else []
+    n = min(rules.pivots, max(2, -(-distinct.count() // rules.cell_rows)))
+    pivots = distinct.orderBy(F.xxhash64("cls"), "cls").limit(n).select("unit", "dim").collect()
     linked = written(_linked(_blocks(_visits(distinct, pivots, rules), rules), rules), "vector-links")
     labels = components(linked.filter("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b")))
     counts = linked.groupBy("cls").agg(F.sum("n").alias("n"))

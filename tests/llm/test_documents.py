@@ -261,6 +261,15 @@ def test_mix_orders_ties_by_the_whole_row(spark):
     assert drawn[1] == drawn[4] == drawn[9] and sum(c for _, c in drawn[1]) in (13, 14)
 
 
+def test_mix_spreads_rows_of_one_key(spark):
+    rows = spark.range(400).selectExpr("CASE WHEN id % 2 = 0 THEN 7 END AS doc_id", "concat('w ', id) AS text", "'s' AS source")
+    plan = mixing.with_copies(rows, bucket_rows=20)
+    got = plan.collect()
+    assert abs(sum(r["taken"] for r in got) - got[0]["target"]) <= 2 and len(got) == 400
+    again = mixing.with_copies(rows.repartition(9), bucket_rows=20)
+    assert sorted(map(str, again.collect())) == sorted(map(str, got))
+
+
 def test_mix_many_sources(spark):
     rows = spark.range(600).selectExpr("id AS doc_id", "repeat('w ', cast(1 + id % 17 AS int)) AS text", "CASE WHEN id % 3 > 0 THEN concat('h', id) END AS source")
     per = mixing.source_targets(rows.selectExpr("source", "1 + doc_id % 17 AS size"))

@@ -100,6 +100,17 @@ def test_vector_links(spark):
     assert vectors.with_components(df.limit(0)).count() == 0
 
 
+def test_pivots_are_used_at_any_size(spark, monkeypatch):
+    asked, real = [], vectors._visits
+    monkeypatch.setattr(vectors, "_visits", lambda found, pivots, rules: asked.append(len(pivots)) or real(found, pivots, rules))
+    for n in (0, 1, 2, 300):
+        df = spark.range(n).selectExpr("id AS vec_id", "array(cos(id), sin(id), 0.0) AS embedding")
+        rows = {r["vec_id"]: r["n_links"] for r in vectors.with_components(df).collect()}
+        want = {i: sum(i != j and np.cos(i - j) >= 0.9 for j in range(n)) for i in range(n)}
+        assert rows == want
+    assert asked == [0, 1, 2, 2]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (5, None), (101, 100), (200, 201)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

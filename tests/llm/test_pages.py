@@ -50,6 +50,23 @@ def test_what_is_no_part_of_an_article_goes_inside_it_too():
     assert htmltext.main_text(f"<body>{NAV}<article>{BODY}{own}{odd}</article>{FOOT}</body>") == TEXT + "\nRelated work is told here, with words.\nNo warranty, at all."
 
 
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_names_that_only_look_like_frames_and_frames_of_other_names(tag):
+    price = '<div class="share-price"><p>The share price rose, by a little, today.</p></div>'
+    said = "\nThe share price rose, by a little, today."
+    feedback = '<section class="reader-feedback"><p>I like it, a lot, said a reader.</p></section>'
+    for share in ("share", "share-buttons", "social share_links"):
+        page = f'<body>{NAV}<{tag}>{BODY}{price}<div class="{share}"><p>Tell others, please, of this.</p></div>{feedback}</{tag}>{FOOT}</body>'
+        assert htmltext.main_text(page) == TEXT + said
+
+
+@pytest.mark.parametrize("header", ['<header class="entry-header">{}</header>', '<div class="post-title">{}</div>', '<header class="site"><p>Site, of ours.</p></header><header class="article-head">{}</header>'])
+def test_a_header_beside_the_body_belongs_to_the_article(header):
+    title, rest = BODY.split("</h1>")
+    for page in (header.format(title + "</h1>") + f'<div class="entry-content">{rest}</div>', f'<div class="post">{header.format(title + "</h1>")}<div>{rest}</div></div><div class="sidebar"><p>No, not this, at all.</p></div>'):
+        assert htmltext.main_text(f"<body>{NAV}{page}{FOOT}</body>") == TEXT
+
+
 def test_a_short_article_beside_a_long_footer():
     foot = "<footer>A long footer, with words, that says more than the page, by far, and so on.</footer>"
     assert htmltext.main_text(f"<body><div class=ad>Some ad, which is long.</div><article><h1>Short.</h1></article>{foot}</body>") == "Short."
