@@ -97,3 +97,24 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", ch
     document and are cut alike.  Texts are read whole; extra columns are carried.
     """
     return spans.cut(docs, repeated_chunks(docs, key, text, chunks), key, text)
+
+
+#: DuckDB: the same windows of lines, told by their whole bytes.
+ORACLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, ends_with(coalesce(text, ''), chr(10)) AS closed FROM documents),
+e AS (SELECT doc_id, closed, string_split(CASE WHEN closed THEN left(text, length(text) - 1) ELSE text END, chr(10)) AS ls FROM d),
+p AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i, closed OR generate_subscripts(ls, 1) < len(ls) AS broken FROM e),
+w AS (SELECT *, line || CASE WHEN broken THEN chr(10) ELSE '' END AS piece, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM p),
+c AS (SELECT *, sum(n) OVER o AS upto, coalesce(sum(strlen(piece)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos,
+    n > 0 OR coalesce(lag(n) OVER o, 0) > 0 AS may_end FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT a.doc_id, a.i AS a, min(b.i) AS b FROM c a JOIN c b ON a.doc_id = b.doc_id AND a.i < b.i AND b.may_end AND b.upto - a.upto + a.n >= 10 AND (b.upto - b.n - a.upto + a.n < 10 OR b.i = a.i + 1) WHERE a.n > 0 GROUP BY ALL
+  UNION SELECT a.doc_id, max(a.i), b.i FROM c a JOIN c b ON a.doc_id = b.doc_id AND a.i < b.i AND b.may_end AND b.upto - a.upto + a.n >= 10 AND (b.upto - a.upto < 10 OR b.upto - b.n = a.upto) WHERE a.n > 0 GROUP BY ALL),
+u AS (SELECT f.doc_id, a, b, min(c.pos) AS start, string_agg(c.line, chr(10) ORDER BY c.i) AS body FROM f JOIN c ON c.doc_id = f.doc_id AND c.i BETWEEN a AND b GROUP BY ALL),
+s AS (SELECT doc_id, a, b, row(doc_id, start) = min(row(doc_id, start)) OVER (PARTITION BY body) AS is_first FROM u),
+k AS (SELECT c.doc_id, c.i, c.piece, c.pos, strlen(c.piece) AS size, bool_or(s.a IS NOT NULL) AS gone FROM c LEFT JOIN s ON s.doc_id = c.doc_id AND NOT is_first AND c.i BETWEEN s.a AND s.b GROUP BY ALL),
+g AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER o, false) AS opens, gone AND NOT coalesce(lead(gone) OVER o, false) AS shuts FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i))
+SELECT doc_id, sum(size)::BIGINT AS n_bytes, coalesce(sum(size) FILTER (WHERE gone), 0)::BIGINT AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+  sha256(coalesce(string_agg(piece, '' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256,
+  coalesce(array_to_string(list_transform(list_zip(list(pos ORDER BY i) FILTER (WHERE opens), list(pos + size ORDER BY i) FILTER (WHERE shuts)), lambda x: x[1]::BIGINT || '-' || x[2]::BIGINT), ','), '') AS spans
+FROM g GROUP BY doc_id
+"""

@@ -45,13 +45,17 @@ def op5_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.with_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
-def op6_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs of whole sentences and lines with 25 words that stood earlier go; ``spans`` lists the removed offsets."""
-    found = units.unit_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _listed(found: DataFrame) -> DataFrame:
+    """``found`` with its spans as text: start-end,start-end."""
     place = lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))
     return found.withColumn("spans", F.concat_ws(",", F.transform("spans", place)))
 
 
+def op6_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of whole sentences and lines with 25 words that stood earlier go; ``spans`` lists the removed offsets."""
+    return _listed(units.unit_digests(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def line_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``op6_unit_dedup``, with single lines of ten words as units."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -73,7 +77,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spans.cut_digests(docs, chunks.repeated_chunks(docs))
+    return _listed(spans.cut_digests(docs, chunks.repeated_chunks(docs)))
 
 
 def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,4 +120,4 @@ r AS (SELECT vec_id AS a, vec_id AS b FROM u UNION SELECT r.a, l.b FROM r JOIN l
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a)
 SELECT c.vec_id, (SELECT count(*) FROM l WHERE l.a = c.vec_id) AS n_links, component_id, c.vec_id = component_id AS kept FROM c
 """
-ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "line_unit_dedup": units.LINE_ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_jaccard_join": jaccard.ORACLE, "op11_top_k": topk.ORACLE, "op12_merkle_manifest": manifest.ORACLE}
+ORACLES: dict[str, str] = {"op2_chat_format": chat.ORACLE, "op4_quality_rules": quality.ORACLE, "op5_vector_dedup": _VECTORS, "op6_unit_dedup": units.ORACLE, "line_unit_dedup": units.LINE_ORACLE, "op7_mix_sources": mixing.ORACLE, "op9_jaccard_join": jaccard.ORACLE, "op10_line_chunks": chunks.ORACLE, "op11_top_k": topk.ORACLE, "op12_merkle_manifest": manifest.ORACLE}
