@@ -36,8 +36,8 @@ def counted(df: DataFrame, keys: Sequence[str], value: str, n: Column | None = N
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg((F.count("*") if n is None else F.sum(n)).alias("_n"))
 
 
-def placed(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``counts`` with ``_before``, the rows of smaller values of the key, and ``_all``, those of the key.
+def placed(counts: DataFrame, keys: Sequence[str], value: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``counts`` with ``_before``, the rows of smaller values of the key, and ``_all``, those of the key; columns ``carry`` are kept.
 
     Values lie in ranges; the table is written with its ranges, so that one cut holds for
     the sums inside a range and over the ranges.
@@ -49,7 +49,7 @@ def placed(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     totals = totals.withColumns({"_base": F.coalesce(F.sum("_own").over(over.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_all": F.sum("_own").over(over)})
     inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     rows = ranged.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(totals, [*keys, "_part"])
-    return rows.select(*keys, value, "_n", (F.col("_base") + F.col("_in")).alias("_before"), "_all")
+    return rows.select(*keys, value, "_n", *carry, (F.col("_base") + F.col("_in")).alias("_before"), "_all")
 
 
 #: Share of the rows by which a sketch of 10,000 samples may miss a rank, doubled.
@@ -60,8 +60,8 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str,
     """(keys, n, least, most, ...): rows, ends and the wanted interpolated quantiles of each key.
 
     A sketch of fixed size tells in one pass between which values each quantile lies; a
-    second pass counts what is below and ranks only the values between, so no shuffle is
-    as large as the table.  Where a sketch should miss, the key's values are all ranked.
+    second pass counts what is below and the values between, and only those are ranked, so no
+    shuffle is as large as the table.  Where a sketch should miss, the key's values are all ranked.
     Without ``exact`` the sketch decides.  Keys with fewer different values than
     ``least_values`` are left out.  ``df`` is read several times; write it first if it is costly.
     """
@@ -75,11 +75,16 @@ def quantiles(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str,
         stats = once(df.groupBy(*keys).agg(*ends, F.percentile_approx("_v", F.array(*map(F.lit, steps)), F.lit(10_000)).alias("_cuts")), "sketches")
         low = lambda i: F.when(F.lit(steps[2 * i] <= 0), F.col("least")).otherwise(F.col("_cuts")[2 * i])
         high = lambda i: F.when(F.lit(steps[2 * i + 1] >= 1), F.col("most")).otherwise(F.col("_cuts")[2 * i + 1])
-        rows = df.join(F.broadcast(stats.drop("n")), keys)  # a row per column or candidate
-        below = rows.groupBy(*keys).agg(*[F.count_if(F.col("_v") < low(i)).alias(f"_under{i}") for i in range(len(names))])
+        ends_of = F.broadcast(stats.drop("n"))  # a row per column or candidate
         inside = [F.col("_v").between(low(i), high(i)) for i in range(len(names))]
+        under = sum((F.when(F.col("_v") < low(i), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(len(names))), F.lit(0))
+        # one pass: values outside all ranges are told apart only by the ranges they lie below
+        counts = df.join(ends_of, keys).groupBy(*keys, under.alias("_under"), F.when(reduce(or_, inside), F.col("_v")).alias("_w")).agg(F.count("*").alias("_n"))
+        counts = once(counts, "counts")
+        below = counts.groupBy(*keys).agg(*[F.sum(F.when(F.col("_under").bitwiseAND(F.lit(1 << i)) > 0, F.col("_n")).otherwise(F.lit(0))).alias(f"_under{i}") for i in range(len(names))])
         picked = F.explode(F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(inside)]))).alias("_k")
-        between = placed(counted(rows.filter(reduce(or_, inside)).select(*keys, "_v", picked), [*keys, "_k"], "_v"), [*keys, "_k"], "_v")
+        rows = counts.filter("_w IS NOT NULL").select(*keys, F.col("_w").alias("_v"), "_n").join(ends_of, keys).select(*keys, "_v", "_n", picked)
+        between = placed(counted(rows, [*keys, "_k"], "_v", F.col("_n")), [*keys, "_k"], "_v")
         found = once(stats.drop("_cuts").join(F.broadcast(below), keys), "below")
         found = once(found.join(_reached(between.join(F.broadcast(found), keys), keys, wanted), keys, "left"), "quantiles")
         missed = found.filter(reduce(or_, [F.col(f"_high_{c}").isNull() | ~F.col(f"_from_{c}") for c in names])).select(*keys)
@@ -146,40 +151,49 @@ def spearman(pairs: DataFrame, keys: Sequence[str], a: str = "a", b: str = "b")
 def rank_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], at_once: int = 12) -> DataFrame:
     """(a, b, rho): rank correlation of column pairs over the rows that have both; NULL if undefined.
 
-    Columns without missing values are ranked once each, on their counted values, and
-    correlated in a matrix of at most ``at_once`` columns; other pairs are ranked pair by pair.
+    For columns without missing values, the ranks of one side join the rows, a column at a
+    time; the other side needs no join: its rows are counted by value with the sums of those
+    ranks, in one pass for all columns, and as equal values have equal ranks, that is enough.
+    Other pairs are ranked pair by pair.
     """
     names = list(dict.fromkeys(c for pair in pairs for c in pair))
     plain = once(df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(names)]), "wide")
     number = {c: f"c{i}" for i, c in enumerate(names)}
     missing = plain.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in plain.columns]).first()
-    whole = [c for c in plain.columns if not missing[c]]
-    easy = [p for p in pairs if number[p[0]] in whole and number[p[1]] in whole]
-    found: list[tuple[str, str, float]] = []
-    if easy:
-        counts = placed(counted(melted(plain, whole), ["column_name"], "v"), ["column_name"], "v")
-        ranks = once(counts.select("column_name", "v", (F.col("_before") + (F.col("_n") + 1) / 2.0 - (F.col("_all") + 1) / 2.0).alias("r")), "ranks")
-        some: list[tuple[str, str]] = []
-        for pair in [*easy, None]:
-            if pair is None or len({c for p in [*some, pair] for c in p}) > at_once:
-                used = sorted({number[c] for p in some for c in p})
-                rows = plain.select(*used)
-                for c in used:
-                    rows = rows.join(ranks.filter(F.col("column_name") == c).select(F.col("v").alias(c), F.col("r").alias(f"r{c}")), c)
-                of = {(a, b): r for x, y, r in correlation_matrix(rows.select(*[f"r{c}" for c in used]), [f"r{c}" for c in used]) for a, b in ((x[1:], y[1:]), (y[1:], x[1:]))}
-                found += [(a, b, of.get((number[a], number[b]))) for a, b in some]
-                some = []
-            if pair is not None:
-                some.append(pair)
+    easy = [p for p in pairs if not missing[number[p[0]]] and not missing[number[p[1]]]]
+    turn = len({a for a, _ in easy}) < len({b for _, b in easy})  # join the side with fewer columns
+    joined = list(dict.fromkeys(number[p[0] if turn else p[1]] for p in easy))
+    products: dict[tuple[str, str], tuple[float, float, float]] = {}
+    for lo in range(0, len(joined), at_once):
+        some = joined[lo : lo + at_once]
+        listed = list(dict.fromkeys(number[p[1] if turn else p[0]] for p in easy if number[p[0] if turn else p[1]] in some))
+        ranks = once(_centred(placed(counted(melted(plain, some), ["column_name"], "v"), ["column_name"], "v")), "ranks")
+        squares = {r["column_name"]: r["s"] for r in ranks.groupBy("column_name").agg(F.sum(F.col("_n") * F.col("r") * F.col("r")).alias("s")).collect()}
+        rows = plain
+        for c in some:
+            rows = rows.join(ranks.filter(F.col("column_name") == c).select(F.col("v").alias(c), F.col("r").alias(f"r{c}")), c)
+        counts = melted(rows, listed, [f"r{c}" for c in some]).groupBy("column_name", "v").agg(F.count("*").alias("_n"), *[F.sum(f"r{c}").alias(f"s{c}") for c in some])
+        other = _centred(placed(counts, ["column_name"], "v", [f"s{c}" for c in some]))
+        for r in other.groupBy("column_name").agg(F.sum(F.col("_n") * F.col("r") * F.col("r")).alias("s"), *[F.sum(F.col("r") * F.col(f"s{c}")).alias(f"p{c}") for c in some]).collect():  # a row per column
+            products |= {(r["column_name"], c): (r[f"p{c}"], r["s"], squares[c]) for c in some}
+    found = []
+    for a, b in easy:
+        xy, xx, yy = products.get((number[b], number[a]) if turn else (number[a], number[b]), (0.0, 0.0, 0.0))
+        found.append((a, b, xy / (xx**0.5 * yy**0.5) if xx > 0 and yy > 0 else None))
     hard = [p for p in pairs if p not in set(easy)]
     out = df.sparkSession.createDataFrame(found, "a string, b string, rho double")
     if hard:
         items = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(number[a]).alias("x"), F.col(number[b]).alias("y")) for a, b in hard])
-        listed = df.sparkSession.createDataFrame(hard, "a string, b string")
-        out = out.unionByName(listed.join(spearman(plain.select(F.explode(items).alias("p")).select("p.*"), ["a", "b"], "x", "y"), ["a", "b"], "left"))
+        listed_pairs = df.sparkSession.createDataFrame(hard, "a string, b string")
+        out = out.unionByName(listed_pairs.join(spearman(plain.select(F.explode(items).alias("p")).select("p.*"), ["a", "b"], "x", "y"), ["a", "b"], "left"))
     return out
 
 
+def _centred(rows: DataFrame) -> DataFrame:
+    """``placed`` rows with ``r``, the average rank less its mean, so a constant gives exact zeros."""
+    return rows.withColumn("r", F.col("_before") + (F.col("_n") + 1) / 2.0 - (F.col("_all") + 1) / 2.0)
+
+
 def correlation_matrix(wide: DataFrame, names: list[str]) -> list[tuple[str, str, float]]:
     """(a, b, correlation) of all pairs in one pass over a complete wide table; pairs with a constant are left out.
 

@@ -23,8 +23,6 @@ from ..functions.scratch import once
 BINS = 64
 #: Rows and bytes of codes of a shard at most, on average.
 SHARD_ROWS, SHARD_BYTES = 250_000, 32 << 20
-#: Cells of the histograms that one pass counts into, and elements it counts.
-CELLS, ELEMENTS = 1 << 22, 1 << 20
 
 
 def cut_points(bins: int = BINS) -> list[float]:
@@ -42,69 +40,53 @@ def coded(df: DataFrame, cuts: Mapping[str, Sequence[float]], names: Mapping[str
 
 
 class Tree:
-    """A regression tree over byte codes, grown level by level with weights of a bootstrap."""
+    """A regression tree over byte codes, grown level by level with weights of a bootstrap.
+
+    A level's histograms are counted for the smaller child of each split node only; the other's
+    are what the parent's leave.
+    """
 
     def __init__(self, codes: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int, bins: int):
         rows = np.flatnonzero(weight)
         codes, w = np.ascontiguousarray(codes[:, rows]), weight[rows].astype(np.float64)
         wy = w * y[rows]
-        features, n = codes.shape
-        self.gains = np.zeros(features)
+        self.gains = np.zeros(len(codes))
         self.feature, self.cut, self.left = [np.full(1, -1)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
         self.value = [np.array([wy.sum() / max(w.sum(), 1.0)])]
-        node, base = np.zeros(n, dtype=np.int64), 0  # node: the place among this level's nodes that may be split
-        places = np.zeros(1, dtype=np.int64)
-        for _ in range(depth):
-            if not len(node):
+        node, base = np.zeros(len(rows), dtype=np.int64), 0  # node: the place among the nodes of this level
+        held = _histograms(codes, node, w, wy, 1, bins) if depth and len(rows) else None
+        for level in range(depth):
+            if held is None or not held.shape[2]:
                 break
-            open_ = len(places)
-            count, total = np.bincount(node, w, open_), np.bincount(node, wy, open_)
-            best, feature, cut, left_count, left_total = self._best(codes, node, w, wy, count, total, bins)
-            split = best > 1e-9 * (1.0 + np.abs(total))
-            feature, cut = np.where(split, feature, -1), np.where(split, cut, 0)
-            np.add.at(self.gains, feature[split], best[split])
+            gain, feature, cut, left_count, left_total = _best(held)
+            count, total = held[0, 0].sum(axis=1), held[1, 0].sum(axis=1)
+            split = gain > 1e-9 * (1.0 + np.abs(total))
+            np.add.at(self.gains, feature[split], gain[split])
             # children of the split nodes stand behind all nodes made so far, left before right
-            k = int(split.sum())
-            first = base + len(self.value[-1])
+            k, first = int(split.sum()), base + len(self.value[-1])
             child = first + 2 * (np.cumsum(split) - 1)
-            self.feature[-1][places], self.cut[-1][places], self.left[-1][places] = feature, cut, child
-            sums, counts = np.empty(2 * k), np.empty(2 * k)
-            sums[0::2], counts[0::2] = left_total[split], left_count[split]
-            sums[1::2], counts[1::2] = total[split] - left_total[split], count[split] - left_count[split]
-            base += len(self.value[-1])
-            self.value.append(sums / np.maximum(counts, 1.0))
+            self.feature[-1][:], self.cut[-1][:], self.left[-1][:] = np.where(split, feature, -1), np.where(split, cut, 0), child
+            counts = np.stack([left_count[split], (count - left_count)[split]], axis=1)
+            sums = np.stack([left_total[split], (total - left_total)[split]], axis=1)
+            base = first
+            self.value.append((sums / np.maximum(counts, 1.0)).ravel())
             self.feature.append(np.full(2 * k, -1))
             self.cut.append(np.zeros(2 * k, np.int64))
             self.left.append(np.zeros(2 * k, np.int64))
+            if level == depth - 1 or not k:
+                break
             keep = split[node]
             codes, w, wy, node = codes[:, keep], w[keep], wy[keep], node[keep]
-            node = child[node] - first + (codes[feature[node], np.arange(len(node))] > cut[node])
-            places = np.arange(2 * k)
-
-    def _best(self, codes: np.ndarray, node: np.ndarray, w: np.ndarray, wy: np.ndarray, count: np.ndarray, total: np.ndarray, bins: int) -> tuple[np.ndarray, ...]:
-        """For each node the largest gain, its feature and code, and weight and sum of the left side."""
-        nodes, (features, n) = len(count), codes.shape
-        out = [np.full(nodes, -1.0), np.zeros(nodes, np.int64), np.zeros(nodes, np.int64), np.zeros(nodes), np.zeros(nodes)]
-        whole = total**2 / np.maximum(count, 1.0)
-        step = max(1, min(CELLS // (nodes * bins), ELEMENTS // max(n, 1)))
-        at = node * bins
-        for lo in range(0, features, step):
-            some = codes[lo : lo + step]
-            m = len(some)
-            key = (at + some + (np.arange(m) * (nodes * bins))[:, None]).ravel()
-            tile = (lambda x, m=m: np.tile(x, m)) if m > 1 else (lambda x: x)
-            held = np.bincount(key, tile(w), m * nodes * bins).reshape(m, nodes, bins).cumsum(axis=2)[:, :, :-1]
-            sums = np.bincount(key, tile(wy), m * nodes * bins).reshape(m, nodes, bins).cumsum(axis=2)[:, :, :-1]
-            rest, other = count[:, None] - held, total[:, None] - sums
-            gain = np.where((held > 0.5) & (rest > 0.5), sums**2 / np.maximum(held, 1.0) + other**2 / np.maximum(rest, 1.0), -1.0) - whole[:, None]
-            flat = gain.transpose(1, 0, 2).reshape(nodes, -1)
-            top = flat.argmax(axis=1)
-            f, cut = np.divmod(top, bins - 1)
-            value, rows = flat[np.arange(nodes), top], np.arange(nodes)
-            better = value > out[0]
-            for have, new in zip(out, (value, f + lo, cut, held[f, rows, cut], sums[f, rows, cut])):
-                have[better] = new[better]
-        return tuple(out)
+            right = codes[feature[node], np.arange(len(node))] > cut[node]
+            place = (np.cumsum(split) - 1)[node]
+            smaller = counts[:, 1] < counts[:, 0]  # whether the right child is
+            some = np.flatnonzero(right == smaller[place])
+            part = _histograms(codes[:, some], place[some], w[some], wy[some], k, bins)
+            rest = held[:, :, split] - part
+            held = np.empty((2, len(codes), 2 * k, bins))
+            held[:, :, 0::2] = np.where(smaller[:, None], rest, part)
+            held[:, :, 1::2] = np.where(smaller[:, None], part, rest)
+            node = 2 * place + right
 
     def predict(self, codes: np.ndarray) -> np.ndarray:
         feature, cut, left, value = (np.concatenate(x) for x in (self.feature, self.cut, self.left, self.value))
@@ -116,6 +98,31 @@ class Tree:
         return value[at]
 
 
+def _histograms(codes: np.ndarray, node: np.ndarray, w: np.ndarray, wy: np.ndarray, nodes: int, bins: int) -> np.ndarray:
+    """(weight and sum, feature, node, code)."""
+    out = np.empty((2, len(codes), nodes, bins))
+    at = node * bins
+    for f, column in enumerate(codes):
+        key = at + column
+        out[0, f] = np.bincount(key, w, nodes * bins).reshape(nodes, bins)
+        out[1, f] = np.bincount(key, wy, nodes * bins).reshape(nodes, bins)
+    return out
+
+
+def _best(held: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each node the largest gain, its feature and code, and weight and sum of the left side."""
+    _, features, nodes, bins = held.shape
+    count, sums = held.cumsum(axis=3)
+    whole, total = count[0, :, -1], sums[0, :, -1]
+    count, sums = count[:, :, :-1], sums[:, :, :-1]
+    rest, other = whole[:, None] - count, total[:, None] - sums
+    gain = np.where((count > 0.5) & (rest > 0.5), sums**2 / np.maximum(count, 1.0) + other**2 / np.maximum(rest, 1.0), -np.inf)
+    flat = gain.transpose(1, 0, 2).reshape(nodes, -1)
+    top, rows = flat.argmax(axis=1), np.arange(nodes)
+    feature, cut = np.divmod(top, bins - 1)
+    return flat[rows, top] - total**2 / np.maximum(whole, 1.0), feature, cut, count[feature, rows, cut], sums[feature, rows, cut]
+
+
 _SHARD = pa.schema([("shard", pa.int64()), ("n", pa.int64()), ("codes", pa.binary()), ("y", pa.binary()), ("fold", pa.binary())])
 _GROWN = pa.schema([("shard", pa.int64()), ("fold", pa.int32()), ("trees", pa.int64()), ("shares", pa.list_(pa.float64())), ("held", pa.binary()), ("y", pa.binary())])
 
