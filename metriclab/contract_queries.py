@@ -261,7 +261,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     text, failed = export.bi_script([SCORED[0][0], SCORED[1][0], C.Candidate("none", ())], ["One", "One", "Bad"], "Obs")
     assert failed == [C.Candidate("none", ()).label()]
-    return rows_of(spark, list(enumerate(text.splitlines()[:3])), "id int, line string")
+    return rows_of(spark, list(enumerate(text.splitlines())), "id int, line string")
 
 
 @register("definition_lookup", f"WITH {DICTIONARY_SQL}, i AS ({values([(f[0], c) for f in _FORMS for c in f[2].split(',')], 'label, name')}), e AS (SELECT name, max(definition) AS definition FROM entries GROUP BY name) SELECT label, name, coalesce(definition, '') AS definition FROM i LEFT JOIN e USING (name)")

@@ -32,6 +32,8 @@ def bi_script(candidates: Sequence[Candidate], names: Sequence[str], table: str)
         try:
             formula = c.to_dax(table)
         except (ValueError, IndexError, TypeError):
+            formula = ""
+        if not formula:
             failed.append(c.label())
             continue
         lines.append(f"table.AddCalculatedColumn({quoted(name)}, @{quoted(formula)});")
