@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
+
 from metriclab import queries
-from metriclab.functions.stats import pairs_below
+from metriclab.functions.stats import guarded_corr, pairs_below
+from metriclab.operators import candidates as C
+from metriclab.operators import scoring
 
 
 def test_pairs_are_counted_as_a_join_would_list_them(spark):
@@ -21,3 +25,35 @@ def test_self_join_query_lists_no_pairs(spark, sf_dir, tmp_path):
     found = queries.QUERIES["sql_self_join"](spark, str(tmp_path))
     assert [tuple(r) for r in found.collect()] == [("one", 30_000 * 29_999 // 2)]
     assert "(p_partkey" not in found._jdf.queryExecution().optimizedPlan().toString()  # no join on a smaller key
+
+
+def test_scores_of_one_pass_are_those_of_the_rows(spark):
+    rows = [("a", 1990 + i % 3, float(i * i % 7), float(i)) for i in range(20)] + [("a", None, 4.0, 1.0), ("a", 1990, 2.0, None), ("a", 1991, None, 3.0)]
+    rows += [("k", 1990 + i % 2, 0.1, float(i)) for i in range(13)] + [("n", 1990, None, 1.0), ("s", 1990, 5.0, 1.0)]
+    df = spark.createDataFrame(rows, "cand string, year int, v double, y double")
+    parts = scoring.moments(df)
+    got, want = ({r["cand"]: r.asDict() for r in t.collect()} for t in (scoring.combined(parts), scoring.statistics(df)))
+    assert got.keys() == want.keys()
+    for c, r in want.items():
+        assert got[c] == pytest.approx(r, nan_ok=True)
+    assert got["k"]["spread"] == 0.0
+    one, two = ({(r["cand"], r["year"]): r["m"] for r in t.collect()} for t in (scoring.yearly(parts), df.filter("year IS NOT NULL").groupBy("cand", "year").agg({"v": "avg"}).toDF("cand", "year", "m")))
+    assert one == pytest.approx(two)
+    strong = {r["cand"]: r["c"] for r in df.groupBy("cand").agg(guarded_corr("v", "y").alias("c")).collect()}
+    found = {r["cand"]: r["correlation"] for r in scoring.correlation(parts).collect()}
+    assert found.get("a") == pytest.approx(strong["a"]) and found.get("k") is None and found.get("s") is None
+
+
+def test_fine_groups_give_what_joined_groups_give(spark):
+    df = spark.createDataFrame([(k, float(i)) for i, k in enumerate([1] * 12 + [2] * 3 + [None] * 11)], "k int, v double")
+    found = [C.Candidate("mean", ("v", "k")), C.Candidate("count", ("k",))]
+    fine = C.projected(C.with_fine(df, found, ["k"]), found, ["v"])
+    assert sorted(fine.collect()) == sorted(C.projected(df, found, ["v"]).collect())
+
+
+def test_scoring_queries_shuffle_lineitem_twice(spark, sf_dir):
+    plan = queries.flat(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    depth = {line.strip(" :+-").split(" ")[0]: len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if "Relation" in line}
+    assert plan.count("Join Inner") == 3 and depth
+    keys = [line[line.index("(") :] for line in plan.splitlines() if "Join Inner" in line]
+    assert "l_orderkey" in keys[0] and "l_partkey" in keys[1] and "c_custkey" in keys[2]  # customers meet orders, not lines
