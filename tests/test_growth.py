@@ -8,6 +8,7 @@ from metriclab import queries
 from metriclab.functions.stats import guarded_corr, pairs_below
 from metriclab.operators import candidates as C
 from metriclab.operators import scoring
+from metriclab.plans import ledger
 
 
 def test_pairs_are_counted_as_a_join_would_list_them(spark):
@@ -57,3 +58,22 @@ def test_scoring_queries_shuffle_lineitem_twice(spark, sf_dir):
     assert plan.count("Join Inner") == 3 and depth
     keys = [line[line.index("(") :] for line in plan.splitlines() if "Join Inner" in line]
     assert "l_orderkey" in keys[0] and "l_partkey" in keys[1] and "c_custkey" in keys[2]  # customers meet orders, not lines
+
+
+def test_ledger_writes_no_values(spark, monkeypatch):
+    rows = [(i, float(i % 7), float(i % 11 + 1), f"d{i % 4}", i % 30, 2000 + i % 3, float(i % 13)) for i in range(600)]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, d string, e int, yr int, y double")
+    ratio = C.Candidate("ratio", (("a",), ("b",)))
+    found = [ratio, C.Candidate("plain", ("a",)), C.Candidate("mean", ("a", "d")), C.Candidate("mean", (ratio, "e")), C.Candidate("count", ("e",))]
+    tables, once = [], ledger.once
+    monkeypatch.setattr(ledger, "once", lambda df, name: tables.append((name, df.columns)) or once(df, name))
+    coarse = ledger.Ledger(df, "y", "yr", ["a", "b", "d", "e"])
+    coarse.add(found)
+    assert tables == []  # groups were broadcast, values computed where they are read
+    monkeypatch.setattr(ledger, "COARSE_BYTES", 0)
+    fine = ledger.Ledger(df, "y", "yr", ["a", "b", "d", "e"])
+    fine.prepare(found)
+    fine.add(found[:3])
+    fine.add(found)
+    assert [n for n, _ in tables] == ["fine"] and sum(c.startswith("__g") for c in tables[0][1]) == 3
+    assert fine.products == pytest.approx(coarse.products) and {s: f.cuts for s, f in fine.facts.items()} == {s: f.cuts for s, f in coarse.facts.items()}
