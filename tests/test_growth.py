@@ -7,7 +7,7 @@ import pytest
 from metriclab import queries
 from metriclab.functions.stats import guarded_corr, pairs_below
 from metriclab.operators import candidates as C
-from metriclab.operators import scoring
+from metriclab.operators import roles, scoring
 from metriclab.plans import ledger
 
 
@@ -77,3 +77,16 @@ def test_ledger_writes_no_values(spark, monkeypatch):
     fine.add(found)
     assert [n for n, _ in tables] == ["fine"] and sum(c.startswith("__g") for c in tables[0][1]) == 3
     assert fine.products == pytest.approx(coarse.products) and {s: f.cuts for s, f in fine.facts.items()} == {s: f.cuts for s, f in coarse.facts.items()}
+
+
+def joined_tables(monkeypatch, *modules):
+    """Names of the tables that are written from the four-table join."""
+    found = []
+    for m in modules:
+        monkeypatch.setattr(m, "once", lambda df, name, real=m.once: ("Join Inner" in df._jdf.queryExecution().optimizedPlan().toString() and found.append(name)) or real(df, name))
+    return found
+
+
+def test_correlation_pairs_join_the_tables_once(spark, sf_dir, monkeypatch):
+    found = joined_tables(monkeypatch, queries, C, roles)
+    assert queries.QUERIES["correlation_pairs"](spark, sf_dir).count() and found == ["observations"]
