@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language
-from .functions.scratch import shared_dir
+from .functions.scratch import once, shared_dir
 from .operators import candidates as C
 from .operators import cleaning, importance, profiling, roles
 from .plans import export
@@ -131,9 +131,9 @@ _DUP_SQL = "dp AS (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, CAST(
 
 @register("classification_merge", f"WITH {LEAKY_SQL}, {_LEAK_SQL}, {_DUP_SQL} SELECT column_name, abs(rho) >= 0.9 AS leaks, round(rho, 3) AS correlation, coalesce(note, '') AS note FROM leak LEFT JOIN note USING (column_name) UNION ALL SELECT 'some_text', NULL, NULL, ''")
 def _(spark, sf_dir):
-    df = leaky(spark, sf_dir)
+    df = once(leaky(spark, sf_dir), "leaky")  # joined once for both
     classes = {n: {"role": "numeric", "note": ""} for n in LEAKY_NAMES} | {"some_text": {"role": "categorical", "note": ""}}
-    found = roles.merged_classification(classes, roles.leakage(df, TARGET), roles.duplicate_notes(roles.duplicate_columns(df)))
+    found = roles.merged_classification(classes, roles.leakage(df, TARGET, write=False), roles.duplicate_notes(roles.duplicate_columns(df, write=False)))
     rows = [(k, v.get("leaks"), v.get("correlation"), v["note"]) for k, v in found.items()]
     return rounded(rows_of(spark, rows, "column_name string, leaks boolean, correlation double, note string"), 3)
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-from metriclab import queries
+from metriclab import contract_queries, queries
+from metriclab.functions import stats
 from metriclab.functions.stats import guarded_corr, pairs_below
 from metriclab.operators import candidates as C
 from metriclab.operators import roles, scoring
@@ -83,10 +84,15 @@ def joined_tables(monkeypatch, *modules):
     """Names of the tables that are written from the four-table join."""
     found = []
     for m in modules:
-        monkeypatch.setattr(m, "once", lambda df, name, real=m.once: ("Join Inner" in df._jdf.queryExecution().optimizedPlan().toString() and found.append(name)) or real(df, name))
+        monkeypatch.setattr(m, "once", lambda df, name, real=m.once: ("o_orderkey" in df._jdf.queryExecution().optimizedPlan().toString() and found.append(name)) or real(df, name))
     return found
 
 
 def test_correlation_pairs_join_the_tables_once(spark, sf_dir, monkeypatch):
     found = joined_tables(monkeypatch, queries, C, roles)
     assert queries.QUERIES["correlation_pairs"](spark, sf_dir).count() and found == ["observations"]
+
+
+def test_classification_joins_the_tables_once(spark, sf_dir, monkeypatch):
+    found = joined_tables(monkeypatch, contract_queries, stats, roles)
+    assert queries.QUERIES["classification_merge"](spark, sf_dir).count() and found == ["leaky"]
