@@ -96,3 +96,17 @@ def test_correlation_pairs_join_the_tables_once(spark, sf_dir, monkeypatch):
 def test_classification_joins_the_tables_once(spark, sf_dir, monkeypatch):
     found = joined_tables(monkeypatch, contract_queries, stats, roles)
     assert queries.QUERIES["classification_merge"](spark, sf_dir).count() and found == ["leaky"]
+
+
+def test_scores_join_and_write_only_what_they_read(spark, sf_dir, monkeypatch):
+    written, joined = {}, {}
+
+    def noted(df, name, real=queries.once):
+        written[name], joined[name] = df.columns, df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(queries, "once", noted)
+    assert queries.QUERIES["score_information"](spark, sf_dir).count() == len(queries.SCORED)
+    assert queries.TARGET not in joined["observations"].split("Relation")[0]  # the relations name all their columns
+    assert not {queries.TARGET, "l_orderkey"} & set(written["observations"])
+    assert {"year", "y", "cand", "v"} == set(queries.long(spark, sf_dir).columns) and queries.TARGET in written["observations"]
